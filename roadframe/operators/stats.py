@@ -69,8 +69,11 @@ def kth_smallest(df: DataFrame, value_col: str, ranks, group_col: str | None = N
     data = df.select((F.col(group_col) if has_group else F.lit(None)).alias(_GROUP),
                      F.col(value_col).alias(_VAL)).filter(F.col(_VAL).isNotNull())
     if not isinstance(ranks, dict):
-        ranks = {None: list(ranks)}
-    active = [_Bracket(g, None, None, 0, sorted(set(int(r) for r in rs))) for g, rs in ranks.items() if rs]
+        ranks = {None: ranks}
+    # a group's ranks may be a function of the group size n: it is resolved
+    # from the first round's counts (no separate counting job)
+    active = [_Bracket(g, None, None, 0, rs if callable(rs) else sorted(set(int(r) for r in rs)))
+              for g, rs in ranks.items() if callable(rs) or rs]
     result: dict = {}
     lo_hi = None
     if uniform:
@@ -84,8 +87,12 @@ def kth_smallest(df: DataFrame, value_col: str, ranks, group_col: str | None = N
         stats = {r[_BID]: (r["n"], r["nd"]) for r in
                  tagged.groupBy(_BID).agg(F.count(F.lit(1)).alias("n"),
                                           F.approx_count_distinct(_VAL, 0.02).alias("nd")).collect()}
-        small = [i for i, b in enumerate(active) if stats.get(i, (0, 0))[1] <= max_collect or rounds >= max_rounds]
-        big = [i for i in range(len(active)) if i not in small]
+        for i, b in enumerate(active):
+            if callable(b.ranks):
+                b.ranks = sorted(set(int(r) for r in b.ranks(stats.get(i, (0, 0))[0])))
+        live = [i for i, b in enumerate(active) if b.ranks]
+        small = [i for i in live if stats.get(i, (0, 0))[1] <= max_collect or rounds >= max_rounds]
+        big = [i for i in live if i not in small]
         if small:
             pairs = (tagged.filter(F.col(_BID).isin(small))
                      .groupBy(_BID, _VAL).agg(F.count(F.lit(1)).alias("c")).collect())
@@ -179,12 +186,18 @@ def exact_medians(df: DataFrame, cols: list[str], **kw) -> dict[str, float | Non
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("double").alias("value")) for c in cols
     ])).alias("s")).select("s.name", "s.value").filter(F.col("value").isNotNull())
-    counts = {r["name"]: r["n"] for r in stacked.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
-    targets = {c: sorted({(n - 1) // 2, n // 2}) for c, n in counts.items() if n > 0}
-    vals = kth_smallest(stacked, "value", targets, group_col="name", **kw) if targets else {}
+    sizes: dict[str, int] = {}
+
+    def mid(name):
+        def fn(n):
+            sizes[name] = n
+            return sorted({(n - 1) // 2, n // 2}) if n > 0 else []
+        return fn
+
+    vals = kth_smallest(stacked, "value", {c: mid(c) for c in cols}, group_col="name", **kw)
     out: dict[str, float | None] = {}
     for c in cols:
-        n = counts.get(c, 0)
+        n = sizes.get(c, 0)
         if n == 0:
             out[c] = None
             continue

@@ -22,7 +22,7 @@ from roadframe.functions.recode import collapse_target, recode_columns
 from roadframe.operators.group import group_features
 from roadframe.operators.relate import drop_duplicate_rows, left_join, lookup_join
 from roadframe.operators.schema import drop_if_present, rename_if_present
-from roadframe.operators.stats import fill_with_medians
+from roadframe.operators.stats import exact_medians
 
 
 @dataclass
@@ -67,6 +67,21 @@ def engineer_features(df: DataFrame, regions: DataFrame | None, cfg: AccidentCon
                       lookup_key: str = "departement", lookup_value: str = "region") -> DataFrame:
     """Recode, group features, cleaning, dates, lookup, target — one user row in, one out."""
     k, v, u = cfg.accident_key, cfg.vehicle_key, cfg.user_key
+    last, first = cfg.years[-1], cfg.years[0]
+    for c in ("an", "mois", "jour"):
+        if c not in df.columns:
+            raise ValueError(f"missing date column {c!r}")
+    clipped = {"an": clip("an", first, last), "mois": clip("mois", 1, 12), "jour": clip("jour", 1, 31)}
+    if "an_nais" in df.columns:
+        clipped["an_nais"] = clip("an_nais", cfg.oldest_year, last)
+    # Medians of the clipped columns over the joined rows. Computed here, on a
+    # plan that only carries the join keys and these columns (Catalyst prunes
+    # the rest before every shuffle), and before the group-feature aggregate,
+    # which is 1:1 and does not change them.
+    src = {"jour": "mois"} if cfg.compat else {}
+    need = sorted({src.get(c, c) for c in clipped})
+    med = exact_medians(df.select(*[clipped[c].alias(c) for c in need]), need)
+
     df = recode_columns(df, cfg.recode_rules)
     if v in df.columns:
         df = df.withColumn(v, strip_to_long(v))
@@ -80,24 +95,10 @@ def engineer_features(df: DataFrame, regions: DataFrame | None, cfg: AccidentCon
                         classes=cfg.vehicle_classes if "catv" in df.columns else [])
     df = drop_if_present(df, R.KEY_COLUMNS_DROPPED if k == "Num_Acc" else
                          [c for c in (k, v, u, "num_veh", "num_veh_x", "num_veh_y")])
-    last, first = cfg.years[-1], cfg.years[0]
-    for c in ("an", "mois", "jour"):
-        if c not in df.columns:
-            raise ValueError(f"missing date column {c!r}")
-    fill_cols: list[str] = []
-    if "an_nais" in df.columns:
-        df = df.withColumn("an_nais", clip("an_nais", cfg.oldest_year, last))
-        fill_cols.append("an_nais")
-    df = df.withColumns({"__an_raw": F.col("an"),
-                         "an": clip("an", first, last),
-                         "mois": clip("mois", 1, 12),
-                         "jour": clip("jour", 1, 31)})
-    fill_cols += ["an", "mois", "jour"]
-    src = {"jour": "mois"} if cfg.compat else {}
-    df, _ = fill_with_medians(df, fill_cols, median_source=src)
+    filled = {c: F.coalesce(e.cast("double"), F.lit(med[src.get(c, c)]).cast("double")) for c, e in clipped.items()}
     if "an_nais" in df.columns:
-        df = df.withColumn("age", (F.col("__an_raw") - F.col("an_nais").cast("long")).try_cast("long"))
-    df = df.drop("__an_raw")
+        filled["age"] = (F.col("an") - filled["an_nais"].cast("long")).try_cast("long")
+    df = df.withColumns(filled)
     df = df.withColumn("jour_semaine", weekday_name(safe_date("an", "mois", "jour")))
     if "vma" in df.columns:
         df = df.withColumn("vma", clip("vma", None, cfg.vma_cap))

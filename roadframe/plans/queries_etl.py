@@ -121,3 +121,373 @@ def user_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = accident_tables(spark, sf_dir)
     return build_user_table(t["usagers"], t["vehicules"], t["caracteristiques"], t["lieux"],
                             t["regions"], PROOF_CFG)
+
+
+# --------------------------------------------------------------------------
+# joins, lookups, unions, dedup, id completion
+# --------------------------------------------------------------------------
+@register("vehicle_two_key_join", f"""{V.duckdb_with_clause()}
+SELECT u.Num_Acc, u.id_vehicule, u.id_usager, u.num_veh AS num_veh_x, v.num_veh AS num_veh_y, v.catv
+FROM usagers u LEFT JOIN vehicules v
+  ON u.id_vehicule IS NOT DISTINCT FROM v.id_vehicule AND u.Num_Acc IS NOT DISTINCT FROM v.Num_Acc
+""")
+def vehicle_two_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users ⟕ vehicles on (vehicle id, accident id), NULL-safe, clash suffixes."""
+    from roadframe.operators.relate import left_join
+    t = accident_tables(spark, sf_dir)
+    u = t["usagers"].select("Num_Acc", "id_vehicule", "id_usager", "num_veh")
+    v = t["vehicules"].select("Num_Acc", "id_vehicule", "num_veh", "catv")
+    return left_join(u, v, ["id_vehicule", "Num_Acc"])
+
+
+@register("accident_place_join", f"""{V.duckdb_with_clause()}
+SELECT u.id_usager, u.Num_Acc, c.an, c.dep, l.catr, l.vma
+FROM usagers u
+LEFT JOIN caracteristiques c ON u.Num_Acc IS NOT DISTINCT FROM c.Num_Acc
+LEFT JOIN lieux l ON u.Num_Acc IS NOT DISTINCT FROM l.Num_Acc
+""")
+def accident_place_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users ⟕ accidents ⟕ places (the place join may fan out)."""
+    from roadframe.operators.relate import left_join
+    t = accident_tables(spark, sf_dir)
+    df = left_join(t["usagers"].select("id_usager", "Num_Acc"),
+                   t["caracteristiques"].select("Num_Acc", "an", "dep"), ["Num_Acc"])
+    return left_join(df, t["lieux"].select("Num_Acc", "catr", "vma"), ["Num_Acc"])
+
+
+@register("department_lookup", f"""{V.duckdb_with_clause()},
+lk AS (SELECT {sql_pad('departement')} AS k, max(region) AS reg FROM regions GROUP BY 1)
+SELECT c.Num_Acc, c.dep, lk.reg FROM caracteristiques c LEFT JOIN lk ON {sql_pad('c.dep')} = lk.k
+""")
+def department_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Padded key -> label lookup through a size-checked broadcast."""
+    from roadframe.operators.relate import lookup_join
+    t = accident_tables(spark, sf_dir)
+    return lookup_join(t["caracteristiques"].select("Num_Acc", "dep"), "dep",
+                       t["regions"], "departement", "region", "reg")
+
+
+@register("unmatched_department_report", f"""{V.duckdb_with_clause()},
+lk AS (SELECT DISTINCT {sql_pad('departement')} AS k FROM regions WHERE CAST(departement AS INTEGER) < 20),
+miss AS (SELECT {sql_pad('c.dep')} AS dep, count(*) AS n FROM caracteristiques c
+         WHERE {sql_pad('c.dep')} NOT IN (SELECT k FROM lk) GROUP BY 1),
+tot AS (SELECT CAST(sum(n) AS BIGINT) AS n_total FROM miss)
+SELECT dep, n, n_total FROM (SELECT * FROM miss ORDER BY n DESC, dep ASC LIMIT 10) t, tot
+""")
+def unmatched_department_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys missing from the lookup — total and the 10 most frequent."""
+    from pyspark.sql import functions as F
+
+    from roadframe.operators.relate import unmatched_keys
+    t = accident_tables(spark, sf_dir)
+    lk = t["regions"].filter(F.col("departement").cast("int") < 20)
+    return unmatched_keys(t["caracteristiques"], "dep", lk, "departement", top=10)
+
+
+def _year_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    from pyspark.sql import functions as F
+
+    from roadframe.session import read_table
+    o = read_table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    parts = []
+    for y in range(1995, 2002):
+        cols = ["o_orderkey", "o_custkey", "o_totalprice", "year"] + (["o_orderpriority"] if y >= 1998 else [])
+        parts.append(o.filter(F.col("year") == y).select(*cols))
+    return parts
+
+
+@register("orders_year_union", """
+SELECT o_orderkey, o_custkey, o_totalprice, year(o_orderdate) AS year,
+       CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS o_orderpriority
+FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2001
+""")
+def orders_year_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Union of yearly slices by column name; a column absent in old years -> NULL."""
+    from roadframe.operators.relate import union_by_name
+    return union_by_name(_year_slices(spark, sf_dir))
+
+
+@register("lineitem_dedup", """
+SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem
+""")
+def lineitem_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop duplicate rows of a projection (first copy kept, NULLs equal)."""
+    from roadframe.operators.relate import drop_duplicate_rows
+    from roadframe.session import read_table
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    return drop_duplicate_rows(li)
+
+
+@register("duplicate_report", """
+SELECT CAST(count(*) AS BIGINT) AS n_rows,
+       CAST((SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem))
+            AS BIGINT) AS n_distinct,
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, l_linestatus
+                                               FROM lineitem)) AS BIGINT) AS n_duplicates
+FROM lineitem
+""")
+def duplicate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: rows, distinct rows and duplicates of a projection."""
+    from roadframe.operators.profile import duplicate_rows_count
+    from roadframe.session import read_table
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    return duplicate_rows_count(li)
+
+
+@register("event_id_fill", """
+WITH e AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE user_id END AS uid FROM events),
+mx AS (SELECT COALESCE(max(uid), 0) AS m FROM e)
+SELECT event_id, uid AS user_id FROM e WHERE uid IS NOT NULL
+UNION ALL
+SELECT event_id, m + row_number() OVER (ORDER BY event_id) AS user_id FROM e, mx WHERE uid IS NULL
+""")
+def event_id_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL ids -> max+1, max+2, ... (distributed zipWithIndex, no global window)."""
+    from pyspark.sql import functions as F
+
+    from roadframe.operators.relate import fill_missing_ids
+    from roadframe.session import read_table
+    ev = read_table(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.col("user_id")).alias("user_id"))
+    return fill_missing_ids(ev, "user_id", ["event_id"])
+
+
+# --------------------------------------------------------------------------
+# statistics and cleaning
+# --------------------------------------------------------------------------
+@register("column_medians", """
+SELECT 'o_totalprice' AS column_name, CAST(median(o_totalprice) AS DOUBLE) AS median FROM orders
+UNION ALL SELECT 'l_extendedprice', CAST(median(l_extendedprice) AS DOUBLE) FROM lineitem
+UNION ALL SELECT 'l_quantity', CAST(median(l_quantity) AS DOUBLE) FROM lineitem
+UNION ALL SELECT 'c_acctbal', CAST(median(c_acctbal) AS DOUBLE) FROM customer
+""")
+def column_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: exact interpolated medians by bracket refinement (no global sort)."""
+    from roadframe.operators.stats import exact_medians
+    from roadframe.session import read_table
+    rows = []
+    for t, cols in (("orders", ["o_totalprice"]), ("lineitem", ["l_extendedprice", "l_quantity"]),
+                    ("customer", ["c_acctbal"])):
+        rows += list(exact_medians(read_table(spark, sf_dir, t), cols).items())
+    # scalar results of distributed aggregates (4 rows, one per column)
+    return spark.createDataFrame(rows, "column_name string, median double")
+
+
+@register("quantity_clip_median_fill", """
+WITH q AS (SELECT l_orderkey, l_linenumber, l_partkey,
+                  CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE l_quantity END AS q FROM lineitem),
+c AS (SELECT *, CASE WHEN q < 5 THEN 5 WHEN q > 45 THEN 45 ELSE q END AS qc FROM q),
+m AS (SELECT median(qc) AS m FROM c)
+SELECT l_orderkey, l_linenumber, l_partkey, COALESCE(CAST(qc AS DOUBLE), m.m) AS quantity FROM c, m
+""")
+def quantity_clip_median_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL-keeping clip, then NULL -> exact median of the clipped column."""
+    from pyspark.sql import functions as F
+
+    from roadframe.functions.cleaning import clip
+    from roadframe.operators.stats import fill_with_medians
+    from roadframe.session import read_table
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        clip(F.when(F.col("l_partkey") % 9 == 0, F.lit(None)).otherwise(F.col("l_quantity")), 5, 45)
+        .alias("quantity"))
+    out, _ = fill_with_medians(li, ["quantity"])
+    return out
+
+
+_DATE_PARTS_SQL = """
+SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS m,
+       day(o_orderdate) + (o_orderkey % 4) AS d FROM orders
+"""
+
+
+@register("safe_dates_weekday", f"""
+WITH p AS ({_DATE_PARTS_SQL})
+SELECT o_orderkey, TRY_CAST(CAST(y AS VARCHAR) || '-' || CAST(m AS VARCHAR) || '-' || CAST(d AS VARCHAR) AS DATE) AS dt,
+       dayname(TRY_CAST(CAST(y AS VARCHAR) || '-' || CAST(m AS VARCHAR) || '-' || CAST(d AS VARCHAR) AS DATE)) AS weekday
+FROM p
+""")
+def safe_dates_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(year, month, day) -> date with impossible dates -> NULL; English weekday."""
+    from roadframe.functions.cleaning import safe_date, weekday_name
+    from roadframe.session import read_table
+    p = spark.sql(_DATE_PARTS_SQL.replace("FROM orders", "FROM {orders}"),
+                  orders=read_table(spark, sf_dir, "orders"))
+    return p.select("o_orderkey", safe_date("y", "m", "d").alias("dt")).withColumn("weekday", weekday_name("dt"))
+
+
+@register("rejected_dates", f"""
+WITH p AS ({_DATE_PARTS_SQL})
+SELECT y, m, d FROM p
+WHERE TRY_CAST(CAST(y AS VARCHAR) || '-' || CAST(m AS VARCHAR) || '-' || CAST(d AS VARCHAR) AS DATE) IS NULL
+""")
+def rejected_dates_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Side output of the rows whose date could not be assembled."""
+    from roadframe.functions.cleaning import safe_date
+    from roadframe.operators.profile import rejected_dates
+    from roadframe.session import read_table
+    p = spark.sql(_DATE_PARTS_SQL.replace("FROM orders", "FROM {orders}"),
+                  orders=read_table(spark, sf_dir, "orders"))
+    return rejected_dates(p.withColumn("dt", safe_date("y", "m", "d")), "dt", ["y", "m", "d"])
+
+
+@register("event_hour", """
+SELECT event_id, TRY_CAST(split_part(strftime(ts, '%H:%M'), ':', 1) AS BIGINT) AS hr FROM events
+""")
+def event_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P18: "HH:MM" text -> hour (first part of a split)."""
+    from pyspark.sql import functions as F
+
+    from roadframe.functions.cleaning import hour_from_hhmm
+    from roadframe.session import read_table
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", hour_from_hhmm(F.date_format("ts", "HH:mm")).alias("hr"))
+
+
+@register("value_coercions", """
+WITH e AS (
+  SELECT event_id, user_id,
+         ' ' || CAST(user_id AS VARCHAR) || chr(160) || CAST(event_id % 10 AS VARCHAR) AS spaced_id,
+         CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '0' WHEN 2 THEN '-3'
+              ELSE replace(CAST(value AS VARCHAR), '.', ',') END AS width_text,
+         CASE WHEN event_id % 5 = 0 THEN -1 ELSE user_id END AS code
+  FROM events)
+SELECT event_id,
+       TRY_CAST(replace(replace(spaced_id, ' ', ''), chr(160), '') AS BIGINT) AS vehicle_id,
+       TRY_CAST(width_text AS DOUBLE) AS width,
+       CAST(CASE WHEN TRY_CAST(width_text AS DOUBLE) IS NULL THEN 1
+                 WHEN abs(TRY_CAST(width_text AS DOUBLE)) <> 0 THEN 1 ELSE 0 END AS BIGINT) AS tpc,
+       CASE WHEN code = -1 THEN NULL ELSE code END AS code
+FROM e
+""")
+def value_coercions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unicode-space strip + numeric coerce, decimal-comma -> NULL,
+    non-zero flag with NULL -> 1, sentinel -> NULL."""
+    from pyspark.sql import functions as F
+
+    from roadframe.functions.cleaning import nonzero_flag, sentinel_to_null, strip_to_long, to_number
+    from roadframe.session import read_table
+    ev = read_table(spark, sf_dir, "events")
+    e = ev.select(
+        "event_id", "user_id",
+        F.concat(F.lit(" "), F.col("user_id").cast("string"), F.lit(" "),
+                 (F.col("event_id") % 10).cast("string")).alias("spaced_id"),
+        F.when(F.col("event_id") % 4 == 0, F.lit(None)).when(F.col("event_id") % 4 == 1, F.lit("0"))
+         .when(F.col("event_id") % 4 == 2, F.lit("-3"))
+         .otherwise(F.regexp_replace(F.col("value").cast("string"), r"\.", ",")).alias("width_text"),
+        F.when(F.col("event_id") % 5 == 0, F.lit(-1)).otherwise(F.col("user_id")).alias("code"))
+    return e.select("event_id", strip_to_long("spaced_id").alias("vehicle_id"),
+                    to_number("width_text").alias("width"), nonzero_flag("width_text", 1).alias("tpc"),
+                    sentinel_to_null("code", -1).alias("code"))
+
+
+# --------------------------------------------------------------------------
+# recoding and flags
+# --------------------------------------------------------------------------
+# FIXED VALUES for the proof recodes on the driver tables (not accident rules)
+PRIORITY_RULE = {"dtype": "category",
+                 "modalities": {"urgent": ["1-URGENT", "2-HIGH"], "normal": ["3-MEDIUM", "5-LOW"]},
+                 "to_nan": ["4-NOT SPECIFIED"]}
+PART_TYPE_RULE = {"dtype": "category",
+                  "modalities": {"small": ["SMALL", "MEDIUM"], "large": ["LARGE"], "promo": ["PROMO"]},
+                  "to_nan": ["STANDARD"]}
+STATUS_RULE = {"dtype": "int64", "modalities": {"0": ["F"], "1": ["O"]}}
+
+
+@register("code_recode", f"""
+SELECT o_orderkey, {sql_recode('o_orderpriority', PRIORITY_RULE)} AS priority,
+       {sql_recode('o_orderstatus', STATUS_RULE)} AS status
+FROM orders
+""")
+def code_recode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N codes -> 1 label, unknown -> "-1", unlisted codes pass through, int64 rule."""
+    from pyspark.sql import functions as F
+
+    from roadframe.functions.recode import recode_columns
+    from roadframe.session import read_table
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"))
+    return recode_columns(o, {"priority": PRIORITY_RULE, "status": STATUS_RULE})
+
+
+@register("part_type_recode", f"""
+SELECT p_partkey, {sql_recode('p_type', PART_TYPE_RULE)} AS p_type FROM part
+""")
+def part_type_recode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P6/P7 on a second table: 6 types -> 3 labels + unknown."""
+    from roadframe.functions.recode import recode_columns
+    from roadframe.session import read_table
+    return recode_columns(read_table(spark, sf_dir, "part").select("p_partkey", "p_type"),
+                          {"p_type": PART_TYPE_RULE})
+
+
+@register("accident_code_recode", f"""{V.duckdb_with_clause()}
+SELECT Num_Acc, {", ".join(f"{sql_recode(c, R.RECODE_RULES[c])} AS {c}" for c in
+                           ["lum", "agg", "int", "atm", "col"])}
+FROM caracteristiques
+""")
+def accident_code_recode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P6-P8 with the accident rule document on the role-mapped accident table."""
+    from roadframe.functions.recode import recode_columns
+    t = accident_tables(spark, sf_dir)
+    return recode_columns(t["caracteristiques"].select("Num_Acc", "lum", "agg", "int", "atm", "col"),
+                          R.RECODE_RULES)
+
+
+@register("target_collapse", f"""{V.duckdb_with_clause()}
+SELECT id_usager, CASE WHEN grav = 4 THEN 1 WHEN grav = 3 THEN 2 ELSE grav END - 1 AS grav
+FROM usagers WHERE grav IS NOT NULL AND grav <> -1
+""")
+def target_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """4 -> 1, 3 -> 2, drop -1, shift to {0, 1}."""
+    from roadframe.functions.recode import collapse_target
+    t = accident_tables(spark, sf_dir)
+    return collapse_target(t["usagers"].select("id_usager", "grav"), "grav",
+                           R.GRAV_COLLAPSE, R.GRAV_DROP, R.GRAV_SHIFT)
+
+
+@register("equipment_flags", f"""{V.duckdb_with_clause()}
+SELECT u.id_usager, u.Num_Acc,
+  {", ".join(f"{sql_any_in(['u.secu1', 'u.secu2', 'u.secu3'], c)} AS {f}" for f, c in R.SECU_FLAGS.items())},
+  {", ".join(f"{sql_any_in(['v.choc'], c)} AS {f}" for f, c in R.CHOC_FLAGS.items())},
+  CASE WHEN {sql_recode('v.catv', R.RECODE_RULES['catv'])} = 'vl' THEN 1 ELSE 0 END AS is_vl
+FROM usagers u LEFT JOIN vehicules v ON u.id_vehicule = v.id_vehicule AND u.Num_Acc = v.Num_Acc
+""")
+def equipment_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any-of-three-columns membership, single-column membership, equality flag."""
+    from roadframe.functions.flags import equals_flag, flag_columns
+    from roadframe.functions.recode import recode
+    from roadframe.operators.relate import left_join
+    t = accident_tables(spark, sf_dir)
+    df = left_join(t["usagers"].select("id_usager", "Num_Acc", "id_vehicule", "secu1", "secu2", "secu3"),
+                   t["vehicules"].select("Num_Acc", "id_vehicule", "choc", "catv"), ["id_vehicule", "Num_Acc"],
+                   null_safe=False)
+    df = df.withColumns(flag_columns(R.SECU_FLAGS, ["secu1", "secu2", "secu3"]))
+    df = df.withColumns(flag_columns(R.CHOC_FLAGS, "choc"))
+    df = df.withColumn("is_vl", equals_flag(recode("catv", R.RECODE_RULES["catv"]), "vl"))
+    return df.drop("secu1", "secu2", "secu3", "choc", "catv", "id_vehicule")
+
+
+@register("order_group_features", """
+WITH g AS (
+  SELECT l_orderkey, count(DISTINCT l_suppkey) AS nb_v, count(DISTINCT l_partkey) AS nb_u,
+         sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS count_A,
+         sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END) AS count_N,
+         sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS count_R
+  FROM lineitem GROUP BY l_orderkey)
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_returnflag, g.nb_v, g.nb_u,
+       CAST(g.count_A AS BIGINT) AS count_A, CAST(g.count_N AS BIGINT) AS count_N, CAST(g.count_R AS BIGINT) AS count_R,
+       CAST(g.count_A - (CASE WHEN l.l_returnflag = 'A' THEN 1 ELSE 0 END) > 0 AS INTEGER) AS other_A,
+       CAST(g.count_N - (CASE WHEN l.l_returnflag = 'N' THEN 1 ELSE 0 END) > 0 AS INTEGER) AS other_N,
+       CAST(g.count_R - (CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) > 0 AS INTEGER) AS other_R
+FROM lineitem l JOIN g ON l.l_orderkey = g.l_orderkey
+""")
+def order_group_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, A2, P25: distinct counts, class counts and "other row of class X" per group."""
+    from roadframe.operators.group import group_features
+    from roadframe.session import read_table
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
+    return group_features(li, "l_orderkey", {"nb_v": "l_suppkey", "nb_u": "l_partkey"},
+                          class_col="l_returnflag", classes=["A", "N", "R"], prefix="other_",
+                          keep_counts=True)
