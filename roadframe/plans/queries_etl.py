@@ -370,7 +370,7 @@ def value_coercions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     e = ev.select(
         "event_id", "user_id",
-        F.concat(F.lit(" "), F.col("user_id").cast("string"), F.lit(" "),
+        F.concat(F.lit(" "), F.col("user_id").cast("string"), F.lit("\u00a0"),
                  (F.col("event_id") % 10).cast("string")).alias("spaced_id"),
         F.when(F.col("event_id") % 4 == 0, F.lit(None)).when(F.col("event_id") % 4 == 1, F.lit("0"))
          .when(F.col("event_id") % 4 == 2, F.lit("-3"))
