@@ -1 +1,441 @@
 """Sampling, preparation, model, evaluation and explanation queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from roadframe.plans.catalog import register
+from roadframe.session import read_table
+
+_LABELED = """SELECT *, l_returnflag AS label FROM lineitem"""
+
+# --------------------------------------------------------------------------
+# sampling: exact sizes are the contract (membership uses a seeded hash)
+# --------------------------------------------------------------------------
+_CLASS_COUNTS = "c AS (SELECT l_returnflag AS label, count(*) AS n_c FROM lineitem GROUP BY 1)"
+
+
+def _labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "lineitem").withColumn("label", F.col("l_returnflag"))
+
+
+@register("stratified_split_sizes", f"""
+WITH {_CLASS_COUNTS},
+t AS (SELECT sum(n_c) AS n, CAST(ceil(0.2 * sum(n_c)) AS BIGINT) AS n_test FROM c),
+a AS (SELECT label, n_c, n_test * n_c / n AS ex, floor(n_test * n_c / n) AS fl FROM c, t),
+r AS (SELECT label, n_c, fl, row_number() OVER (ORDER BY ex - fl DESC, label) AS rk FROM a),
+alloc AS (SELECT label, n_c, CAST(fl + CASE WHEN rk <= (SELECT n_test FROM t) - (SELECT sum(fl) FROM a)
+                                          THEN 1 ELSE 0 END AS BIGINT) AS k FROM r)
+SELECT label, 'test' AS split, k AS n FROM alloc
+UNION ALL SELECT label, 'train', n_c - k FROM alloc
+""")
+def stratified_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: exact 80/20 stratified split (class ratios kept), sizes per (class, part)."""
+    from roadframe.operators.sample import stratified_split
+    s = stratified_split(_labeled(spark, sf_dir), "label", 0.2, seed=42)
+    return s.groupBy("label", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("undersample_sizes", f"""
+WITH {_CLASS_COUNTS} SELECT label, (SELECT min(n_c) FROM c) AS n FROM c
+""")
+def undersample_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: every class cut to the minority size, without replacement."""
+    from roadframe.operators.sample import undersample
+    return undersample(_labeled(spark, sf_dir), "label").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stratified_fold_sizes", f"""
+WITH {_CLASS_COUNTS}, f AS (SELECT range AS fold FROM range(5))
+SELECT label, CAST(fold AS INTEGER) AS fold,
+       CAST(floor((fold + 1) * n_c / 5) - floor(fold * n_c / 5) AS BIGINT) AS n
+FROM c, f
+""")
+def stratified_fold_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: 5 stratified folds; within a class fold j holds ranks [j*n/5, (j+1)*n/5)."""
+    from roadframe.operators.sample import stratified_folds
+    f = stratified_folds(_labeled(spark, sf_dir), "label", k=5)
+    return f.groupBy("label", F.col("fold").cast("int").alias("fold")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("exact_sample_size", """
+SELECT CAST(count(*) // 4 AS BIGINT) AS n_rows, CAST(count(*) // 4 AS BIGINT) AS n_distinct_rows FROM lineitem
+""")
+def exact_sample_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: exact-size random sample (a quarter of the rows), no duplicates."""
+    from roadframe.operators.sample import sample_fraction_exact
+    s = sample_fraction_exact(read_table(spark, sf_dir, "lineitem"), 0.25)
+    return s.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count_distinct(F.struct(*[F.col(c) for c in s.columns])).alias("n_distinct_rows"))
+
+
+# --------------------------------------------------------------------------
+# preparation
+# --------------------------------------------------------------------------
+_PREP_SRC = """SELECT l_orderkey, l_linenumber, l_partkey,
+  CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE l_quantity END AS q,
+  CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE l_discount END AS d,
+  1.0 AS k FROM lineitem"""
+
+
+@register("mean_impute_minmax", f"""
+WITH s AS ({_PREP_SRC}),
+m AS (SELECT avg(q) AS mq, avg(d) AS md, avg(k) AS mk FROM s),
+f AS (SELECT l_orderkey, l_linenumber, l_partkey, COALESCE(q, mq) AS q, COALESCE(d, md) AS d, COALESCE(k, mk) AS k
+      FROM s, m),
+r AS (SELECT min(q) AS q0, max(q) AS q1, min(d) AS d0, max(d) AS d1 FROM f)
+SELECT l_orderkey, l_linenumber, l_partkey, (q - q0) / (q1 - q0) AS q, (d - d0) / (d1 - d0) AS d, 0.0 AS k FROM f, r
+""")
+def mean_impute_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 + M3: mean imputation then min-max scaling (constant column -> 0)."""
+    from roadframe.operators.prep import apply_fill, apply_min_max, fit_mean, fit_min_max
+    s = spark.sql(_PREP_SRC.replace("FROM lineitem", "FROM {lineitem}"), lineitem=read_table(spark, sf_dir, "lineitem"))
+    cols = ["q", "d", "k"]
+    f = apply_fill(s, fit_mean(s, cols))
+    return apply_min_max(f, fit_min_max(f, cols))
+
+
+@register("mode_impute", """
+WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_type END AS p_type,
+                  CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_brand END AS p_brand FROM part),
+mt AS (SELECT p_type AS v FROM s WHERE p_type IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, v LIMIT 1),
+mb AS (SELECT p_brand AS v FROM s WHERE p_brand IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, v LIMIT 1)
+SELECT p_partkey, COALESCE(p_type, (SELECT v FROM mt)) AS p_type, COALESCE(p_brand, (SELECT v FROM mb)) AS p_brand
+FROM s
+""")
+def mode_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: NULL -> most frequent value (ties -> smallest), all columns in one job."""
+    from roadframe.operators.prep import apply_fill, fit_mode
+    p = read_table(spark, sf_dir, "part").select(
+        "p_partkey", F.when(F.col("p_partkey") % 7 == 0, F.lit(None)).otherwise(F.col("p_type")).alias("p_type"),
+        F.when(F.col("p_partkey") % 5 == 0, F.lit(None)).otherwise(F.col("p_brand")).alias("p_brand"))
+    return apply_fill(p, fit_mode(p, ["p_type", "p_brand"]))
+
+
+_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+@register("one_hot_drop_first", "SELECT p_partkey, " + ", ".join(
+    f"CASE WHEN p_type = '{t}' THEN 1.0 ELSE 0.0 END AS p_type_{t}" for t in _TYPES[1:]) + " FROM part")
+def one_hot_drop_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One 0/1 column per category except the (sorted) first; unseen -> zeros.
+    Categories are fitted on half of the rows and applied to all."""
+    from roadframe.operators.prep import apply_one_hot, fit_categories
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    cats = fit_categories(p.filter(F.col("p_partkey") % 2 == 0), ["p_type"])
+    out, _ = apply_one_hot(p, cats)
+    return out
+
+
+_VAR_COLS = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+
+
+@register("variance_filter", "SELECT t.\"column\", t.variance, t.variance > 0.01 AS kept FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column, var_pop(({c} - (SELECT min({c}) FROM lineitem)) / "
+    f"((SELECT max({c}) FROM lineitem) - (SELECT min({c}) FROM lineitem))) AS variance FROM lineitem"
+    for c in _VAR_COLS) + ") t")
+def variance_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3d: population variance of min-max scaled features; keep those above 0.01."""
+    from roadframe.operators.prep import apply_min_max, fit_min_max, variances
+    li = read_table(spark, sf_dir, "lineitem").select(*_VAR_COLS)
+    v = variances(apply_min_max(li, fit_min_max(li, _VAR_COLS)), _VAR_COLS)
+    # one row per feature (a result of the aggregate above)
+    return spark.createDataFrame([(c, float(v[c]), bool(v[c] > 0.01)) for c in _VAR_COLS],
+                                 "column string, variance double, kept boolean")
+
+
+@register("pca_explained_variance")
+def pca_explained_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centred PCA of the embeddings; explained-variance share per
+    component and cumulative (k for a 0.9 target = first cumulative > 0.9)."""
+    from roadframe.operators.prep import explained_variance_table, fit_pca
+    emb = read_table(spark, sf_dir, "embeddings")
+    fit = fit_pca(emb, "embedding", variance=0.9)
+    return explained_variance_table(fit, spark).withColumn("selected", F.col("component") <= fit.components.shape[1])
+
+
+@register("pca_projection")
+def pca_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9 (k = 3) and L12-style transform: centred projection of every vector."""
+    from roadframe.operators.prep import fit_pca
+    emb = read_table(spark, sf_dir, "embeddings")
+    fit = fit_pca(emb, "embedding", k=3)
+    return fit.transform(emb.select("vec_id", "embedding"), "PC").drop("embedding")
+
+
+@register("lda_projection")
+def lda_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary linear discriminant direction and 1-D projection."""
+    from roadframe.operators.prep import fit_lda_direction, lda_project
+    emb = read_table(spark, sf_dir, "embeddings").withColumn("y", (F.col("label") == 1).cast("int"))
+    w = fit_lda_direction(emb, "embedding", "y")
+    return lda_project(emb, "embedding", w).select("vec_id", "y", "LD1")
+
+
+# --------------------------------------------------------------------------
+# evaluation on a deterministic pseudo-score (SQL-checkable)
+# --------------------------------------------------------------------------
+_SCORED = """SELECT l_orderkey, l_discount * 10 AS score, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y,
+  CASE WHEN l_discount * 10 >= 0.6 THEN 1 ELSE 0 END AS prediction, CAST(l_orderkey % 5 AS INTEGER) AS fold
+  FROM lineitem"""
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadframe.operators.evaluate import threshold
+    li = read_table(spark, sf_dir, "lineitem")
+    s = li.select("l_orderkey", (F.col("l_discount") * 10).alias("score"),
+                  (F.col("l_returnflag") == "R").cast("int").alias("y"),
+                  (F.col("l_orderkey") % 5).cast("int").alias("fold"))
+    return threshold(s, "score", 0.6, "prediction")
+
+
+@register("confusion_counts", f"""
+WITH s AS ({_SCORED}), g AS (SELECT a.y AS label, b.p AS prediction FROM (VALUES (0), (1)) a(y), (VALUES (0), (1)) b(p))
+SELECT g.label, g.prediction, CAST(count(s.y) AS BIGINT) AS n
+FROM g LEFT JOIN s ON s.y = g.label AND s.prediction = g.prediction GROUP BY 1, 2
+""")
+def confusion_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zero-filled confusion matrix at threshold 0.6."""
+    from roadframe.operators.evaluate import confusion_matrix
+    return confusion_matrix(_scored(spark, sf_dir), "y", "prediction", [0, 1])
+
+
+@register("binary_metrics", f"""
+WITH s AS ({_SCORED}),
+c AS (SELECT avg(CASE WHEN y = prediction THEN 1.0 ELSE 0.0 END) AS accuracy,
+             sum(CASE WHEN y = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS tp,
+             sum(CASE WHEN y = 0 AND prediction = 1 THEN 1 ELSE 0 END) AS fp,
+             sum(CASE WHEN y = 1 AND prediction = 0 THEN 1 ELSE 0 END) AS fn FROM s)
+SELECT accuracy, tp / (tp + fp) AS precision, tp / (tp + fn) AS recall,
+       2 * (tp / (tp + fp)) * (tp / (tp + fn)) / ((tp / (tp + fp)) + (tp / (tp + fn))) AS f1 FROM c
+""")
+def binary_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy and class-1 precision / recall / F1."""
+    from roadframe.operators.evaluate import binary_metrics
+    return binary_metrics(_scored(spark, sf_dir), "y", "prediction")
+
+
+@register("classification_report", f"""
+WITH s AS ({_SCORED}),
+cls AS (SELECT DISTINCT y AS c FROM s UNION SELECT DISTINCT prediction FROM s),
+per AS (
+  SELECT CAST(c AS VARCHAR) AS class,
+         COALESCE(sum(CASE WHEN y = c AND prediction = c THEN 1 ELSE 0 END) /
+                  NULLIF(sum(CASE WHEN prediction = c THEN 1 ELSE 0 END), 0), 0.0) AS precision,
+         COALESCE(sum(CASE WHEN y = c AND prediction = c THEN 1 ELSE 0 END) /
+                  NULLIF(sum(CASE WHEN y = c THEN 1 ELSE 0 END), 0), 0.0) AS recall,
+         CAST(sum(CASE WHEN y = c THEN 1 ELSE 0 END) AS BIGINT) AS support,
+         sum(CASE WHEN y = c AND prediction = c THEN 1 ELSE 0 END) AS tp
+  FROM s, cls GROUP BY c),
+per2 AS (SELECT *, COALESCE(2 * precision * recall / NULLIF(precision + recall, 0), 0.0) AS f1 FROM per)
+SELECT class, precision, recall, f1, support FROM per2
+UNION ALL SELECT 'accuracy', NULL, NULL, sum(tp) / sum(support), CAST(sum(support) AS BIGINT) FROM per2
+UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM per2
+UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                 sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM per2
+""")
+def classification_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-class precision/recall/F1/support, accuracy, macro and weighted averages."""
+    from roadframe.operators.evaluate import classification_report
+    return classification_report(_scored(spark, sf_dir), "y", "prediction")
+
+
+_ROC_SQL = f"""
+WITH s AS ({_SCORED}),
+sc AS (SELECT score, sum(y) AS pos, sum(1 - y) AS neg FROM s GROUP BY score),
+tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM sc),
+cum AS (SELECT score, sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+               sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp FROM sc),
+roc AS (SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr
+        UNION ALL SELECT score, fp / N, tp / P FROM cum, tot)"""
+
+
+def _roc(spark, sf_dir):
+    from roadframe.operators.evaluate import roc_curve
+    c = roc_curve(_scored(spark, sf_dir), "y", "score")
+    # the (inf, 0, 0) start point is reported with a NULL threshold
+    return c.withColumn("threshold", F.when(F.col("threshold") == float("inf"), F.lit(None))
+                        .otherwise(F.col("threshold")))
+
+
+@register("roc_points", _ROC_SQL + "\nSELECT * FROM roc")
+def roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5: exact ROC points for every distinct score (distributed running sums)."""
+    return _roc(spark, sf_dir)
+
+
+@register("roc_auc", _ROC_SQL + """,
+seg AS (SELECT fpr, tpr, lag(fpr) OVER (ORDER BY fpr, tpr) AS px, lag(tpr) OVER (ORDER BY fpr, tpr) AS py FROM roc)
+SELECT COALESCE(sum((fpr - px) * (tpr + py) / 2), 0.0) AS auc FROM seg
+""")
+def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trapezoid AUC of the exact ROC."""
+    from roadframe.operators.evaluate import auc
+    return auc(_roc(spark, sf_dir))
+
+
+@register("pr_points", f"""
+WITH s AS ({_SCORED}),
+sc AS (SELECT score, sum(y) AS pos, sum(1 - y) AS neg FROM s GROUP BY score),
+tot AS (SELECT sum(pos) AS P FROM sc),
+cum AS (SELECT score, sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+               sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp FROM sc)
+SELECT score AS threshold, tp / (tp + fp) AS precision, tp / P AS recall FROM cum, tot
+""")
+def pr_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact precision-recall points."""
+    from roadframe.operators.evaluate import pr_curve
+    return pr_curve(_scored(spark, sf_dir), "y", "score")
+
+
+@register("fold_metrics", f"""
+WITH s AS ({_SCORED}),
+g AS (SELECT fold, avg(CASE WHEN y = prediction THEN 1.0 ELSE 0.0 END) AS accuracy,
+             CAST(sum(CASE WHEN y = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+             CAST(sum(CASE WHEN y = 0 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+             CAST(sum(CASE WHEN y = 1 AND prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+             CAST(sum(CASE WHEN y = 0 AND prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn FROM s GROUP BY fold)
+SELECT *, tp / (tp + fp) AS precision, tp / (tp + fn) AS recall,
+       2 * (tp / (tp + fp)) * (tp / (tp + fn)) / (tp / (tp + fp) + tp / (tp + fn)) AS f1 FROM g
+""")
+def fold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy, matrix cells and class-1 P/R/F1 per fold, one grouped job."""
+    from roadframe.operators.evaluate import per_fold_metrics
+    return per_fold_metrics(_scored(spark, sf_dir), "y", "prediction", "fold")
+
+
+@register("fold_summary", f"""
+WITH s AS ({_SCORED}),
+g AS (SELECT fold, avg(CASE WHEN y = prediction THEN 1.0 ELSE 0.0 END) AS accuracy FROM s GROUP BY fold)
+SELECT avg(accuracy) AS accuracy_mean, stddev_pop(accuracy) AS accuracy_std FROM g
+""")
+def fold_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and population std of per-fold accuracy."""
+    from roadframe.operators.evaluate import fold_summary, per_fold_metrics
+    return fold_summary(per_fold_metrics(_scored(spark, sf_dir), "y", "prediction", "fold"), ["accuracy"])
+
+
+@register("summed_fold_confusion", f"""
+WITH s AS ({_SCORED})
+SELECT y AS label, prediction, count(DISTINCT fold) AS n_folds, count(*) AS n FROM s GROUP BY 1, 2
+""")
+def summed_fold_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fold matrices summed cell by cell."""
+    from roadframe.operators.evaluate import summed_confusion
+    return summed_confusion(_scored(spark, sf_dir), "y", "prediction", "fold")
+
+
+@register("mean_fold_roc")
+def mean_fold_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-fold ROC interpolated on 100 FPR points, averaged over folds."""
+    from roadframe.operators.evaluate import mean_roc
+    return mean_roc(_scored(spark, sf_dir), "y", "score", "fold", 100)
+
+
+# --------------------------------------------------------------------------
+# models, scoring, explanations (ML results are range-checked in tests)
+# --------------------------------------------------------------------------
+def document_features(spark: SparkSession, sf_dir: str):
+    """labels ⋈ documents -> prepared feature vector + 0/1 label (quality)."""
+    from roadframe.operators.prep import apply_fill, apply_min_max, apply_one_hot, assemble, fit_categories, \
+        fit_mean, fit_min_max
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"), "toxic")
+    df = docs.join(lab, "doc_id").withColumn("log_chars", F.log1p("n_chars")) \
+        .withColumn("label", F.col("label").cast("double"))
+    num = ["n_chars", "log_chars", "toxic"]
+    df = apply_fill(df, fit_mean(df, num))
+    df = apply_min_max(df, fit_min_max(df, num))
+    cats = fit_categories(df, ["lang", "source"])
+    df, names = apply_one_hot(df, cats, keep_source=False)
+    feats = num + names
+    return assemble(df, feats), feats
+
+
+@register("severity_model_search")
+def severity_model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split, stratified folds, random search
+    with fit-time under-sampling, refit, threshold, metrics, save/load."""
+    from roadframe.operators.evaluate import binary_metrics, threshold
+    from roadframe.operators.models import describe_model, load_model, predict_proba, random_search_cv, save_model
+    from roadframe.operators.sample import stratified_folds, stratified_split
+    df, feats = document_features(spark, sf_dir)
+    split = stratified_split(df, "label", 0.2, seed=42)
+    train = stratified_folds(split.filter(F.col("split") == "train"), "label", k=3)
+    test = split.filter(F.col("split") == "test")
+    rows = []
+    for name in ("random_forest", "logistic_regression", "gbt", "decision_tree"):
+        res = random_search_cv(train, "fold", [], name, "features", "label", n_iter=1, seed=42)
+        model = load_model(save_model(res.model, spark, name))
+        scored = threshold(predict_proba(model, test), "p1", 0.6, "pred")
+        m = binary_metrics(scored, "label", "pred").first()
+        info = describe_model(model)
+        rows += [(name, "cv_accuracy", float(res.best_score)), (name, "test_accuracy", float(m["accuracy"])),
+                 (name, "num_features", float(info["numFeatures"] or len(feats)))]
+    # one row per (model, metric): results of the distributed fits above
+    return spark.createDataFrame(rows, "model string, metric string, value double")
+
+
+@register("adaboost_predictions")
+def adaboost_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted depth-3 trees (weighted Spark trees + weight updates)."""
+    from roadframe.operators.models import adaboost, adaboost_predict
+    df, _ = document_features(spark, sf_dir)
+    learners = adaboost(df, "features", "label", rounds=5, depth=3)
+    return adaboost_predict(learners, df, "features").select("doc_id", "label", "prediction")
+
+
+@register("tree_attributions")
+def tree_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path contributions of a random forest; global importance."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from roadframe.operators.explain import contributions, global_importance
+    df, feats = document_features(spark, sf_dir)
+    rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=20, maxDepth=5, seed=42).fit(df)
+    c = contributions(df, rf, "features", keep=["doc_id", "label"], num_features=len(feats))
+    return global_importance(c, feats)
+
+
+@register("top_attributions")
+def top_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-row top-3 contributions, base + sum = score, a picked positive row."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.functions import vector_to_array
+
+    from roadframe.operators.explain import contributions, top_k_contributions
+    df, feats = document_features(spark, sf_dir)
+    rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=10, maxDepth=4, seed=7).fit(df)
+    scored = rf.transform(df).withColumn("p1", vector_to_array("probability")[1])
+    c = contributions(scored, rf, "features", keep=["doc_id", "label", "p1", "prediction"], num_features=len(feats))
+    return top_k_contributions(c, feats, 3).select("doc_id", "label", "prediction", "p1", "base", "score",
+                                                   F.col("top.feature").alias("top_features"))
+
+
+@register("batch_scoring")
+def batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows completed with dictionary defaults, domain-checked,
+    scored with a fitted model and thresholded, with the predicted class's confidence."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+
+    from roadframe import rules as R
+    from roadframe.operators.models import score_batch
+    from roadframe.operators.schema import columns_by_group
+    from roadframe.plans.queries_etl import user_feature_table
+    feat = user_feature_table(spark, sf_dir)
+    ctx = [c for c in columns_by_group(R.FEATURE_DICTIONARY, "contexte") if c in feat.columns]
+    cat = [c for c in ctx if R.FEATURE_DICTIONARY[c]["type"] == "categorial"]
+    num = [c for c in ctx if c not in cat]
+    stages = [StringIndexer(inputCols=cat, outputCols=[f"{c}_ix" for c in cat], handleInvalid="keep"),
+              OneHotEncoder(inputCols=[f"{c}_ix" for c in cat], outputCols=[f"{c}_oh" for c in cat]),
+              VectorAssembler(inputCols=num + [f"{c}_oh" for c in cat], outputCol="features", handleInvalid="keep"),
+              RandomForestClassifier(featuresCol="features", labelCol="grav", numTrees=10, maxDepth=4, seed=1)]
+    train = feat.withColumn("grav", F.col("grav").cast("double"))
+    train = train.select(*[F.col(c).cast("double") if c in num else F.col(c) for c in ctx], "grav")
+    model = Pipeline(stages=stages).fit(train)
+    rows = feat.select(*ctx).drop("vma")      # a missing column is completed with its default
+    return score_batch(model, rows, ctx, R.FEATURE_DICTIONARY, t=0.5).select(
+        "decision", "prediction", "confidence", F.size("violations").alias("n_violations"))
