@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from roadframe.session import scratch_path
 
@@ -106,7 +107,8 @@ def contributions(df: DataFrame, model, features_col: str = "features", keep: li
             out["score"] = base + contrib.sum(axis=1)
             yield out
 
-    schema = data.drop("__x").schema.add("base", "double").add("contrib", "array<double>").add("score", "double")
+    schema = data.drop("__x").schema.add("base", DoubleType()).add("contrib", ArrayType(DoubleType())) \
+        .add("score", DoubleType())
     return data.mapInPandas(walk, schema)
 
 
