@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,8 +67,20 @@ def kth_smallest(df: DataFrame, value_col: str, ranks, group_col: str | None = N
     Returns ``{(group, rank): value}`` (group is None without ``group_col``).
     """
     has_group = group_col is not None
+    # the narrow (group, value) projection is scanned once per round: keep it
+    # (memory, spilling to disk) so upstream joins are not re-run every round;
+    # a lost block is recomputed from lineage
     data = df.select((F.col(group_col) if has_group else F.lit(None)).alias(_GROUP),
-                     F.col(value_col).alias(_VAL)).filter(F.col(_VAL).isNotNull())
+                     F.col(value_col).alias(_VAL)).filter(F.col(_VAL).isNotNull()) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _refine(data, ranks, has_group, buckets, max_collect, uniform, max_rounds)
+    finally:
+        data.unpersist()
+
+
+def _refine(data: DataFrame, ranks, has_group: bool, buckets: int, max_collect: int, uniform: bool,
+            max_rounds: int) -> dict:
     if not isinstance(ranks, dict):
         ranks = {None: ranks}
     # a group's ranks may be a function of the group size n: it is resolved

@@ -1,0 +1,11 @@
+"""Streaming.
+
+The accident data arrives as finite yearly files; there is no stream, window
+or stateful operator to rebuild, so this package holds no engine code. The
+row-local parts of the plan (``roadframe.functions`` expressions, rule
+recoding, flags, clipping, date parts, lookups through a broadcast static
+table) are plain Column expressions and apply unchanged to a streaming
+DataFrame (``spark.readStream.schema(...).csv(dir)``); the per-accident
+group features, medians and de-duplication need the whole table and stay
+batch operations.
+"""
