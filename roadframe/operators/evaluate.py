@@ -151,26 +151,34 @@ def mean_roc(df: DataFrame, label: str, score: str, fold_col: str, grid_points:
     """Mean ROC over folds: each fold's TPR linearly interpolated on ``grid_points``
     FPR values in [0, 1] (first point 0, last point 1), then averaged.
 
-    Interpolation at f uses the fold's last curve point with fpr <= f and its
-    first point with fpr > f (ties on fpr keep the largest tpr on the left).
+    At grid value g the left point is the curve point with the largest
+    fpr <= g (highest tpr on ties), the right point the one with the smallest
+    fpr > g. No point is paired with every grid value: each curve point is
+    reduced to the first grid index it can be a left neighbour of
+    (ceil(fpr * (G - 1))) and the last it can be a right neighbour of, one
+    aggregate keeps the best point per (fold, index) — at most folds x G rows —
+    and forward / backward fills over the grid finish the bracketing.
     """
+    g1 = grid_points - 1
     curve = roc_curve(df, label, score, positive, partition_col=fold_col)
-    # collapse equal fpr per fold: left point keeps max tpr, right point keeps min tpr
     pts = curve.groupBy(fold_col, "fpr").agg(F.max("tpr").alias("tpr_hi"), F.min("tpr").alias("tpr_lo"))
-    spark = df.sparkSession
-    grid = spark.range(grid_points).select(
-        (F.col("id") / F.lit(grid_points - 1)).cast("double").alias("g"))
-    folds = pts.select(fold_col).distinct()
-    fg = folds.crossJoin(F.broadcast(grid))  # folds x grid points: bounded by k * grid_points
-    left = (fg.join(pts, on=fold_col).filter(F.col("fpr") <= F.col("g"))
-            .groupBy(fold_col, "g").agg(F.max_by(F.struct("fpr", "tpr_hi"), F.col("fpr")).alias("l")))
-    right = (fg.join(pts, on=fold_col).filter(F.col("fpr") > F.col("g"))
-             .groupBy(fold_col, "g").agg(F.min_by(F.struct("fpr", "tpr_lo"), F.col("fpr")).alias("r")))
-    j = left.join(right, [fold_col, "g"], "left")
-    lx, ly, rx, ry = F.col("l.fpr"), F.col("l.tpr_hi"), F.col("r.fpr"), F.col("r.tpr_lo")
-    interp = F.when(rx.isNull(), ly).otherwise(ly + (ry - ly) * (F.col("g") - lx) / (rx - lx))
-    per = j.select(fold_col, "g", interp.alias("tpr"))
-    per = per.withColumn("tpr", F.when(F.col("g") == 0, F.lit(0.0)).otherwise(F.col("tpr")))
+    a = F.ceil(F.col("fpr") * g1 - F.lit(1e-12)).cast("int")
+    left = (pts.withColumn("j", a).groupBy(fold_col, "j")
+            .agg(F.max_by(F.struct(F.col("fpr").alias("x"), F.col("tpr_hi").alias("y")), "fpr").alias("l")))
+    right = (pts.withColumn("j", a - 1).filter(F.col("j") >= 0).groupBy(fold_col, "j")
+             .agg(F.min_by(F.struct(F.col("fpr").alias("x"), F.col("tpr_lo").alias("y")), "fpr").alias("r")))
+    grid = (pts.select(fold_col).distinct()
+            .select(fold_col, F.explode(F.sequence(F.lit(0), F.lit(g1))).alias("j")))
+    w_fwd = Window.partitionBy(fold_col).orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
+    w_bwd = Window.partitionBy(fold_col).orderBy("j").rowsBetween(0, Window.unboundedFollowing)
+    j = (grid.join(left, [fold_col, "j"], "left").join(right, [fold_col, "j"], "left")
+         .select(fold_col, "j", F.last("l", ignorenulls=True).over(w_fwd).alias("l"),
+                 F.first("r", ignorenulls=True).over(w_bwd).alias("r")))
+    g = F.col("j") / F.lit(g1)
+    lx, ly, rx, ry = F.col("l.x"), F.col("l.y"), F.col("r.x"), F.col("r.y")
+    interp = F.when(rx.isNull(), ly).otherwise(ly + (ry - ly) * (g - lx) / (rx - lx))
+    per = j.select(fold_col, g.cast("double").alias("g"),
+                   F.when(F.col("j") == 0, F.lit(0.0)).otherwise(interp).alias("tpr"))
     mean = per.groupBy("g").agg(F.avg("tpr").alias("mean_tpr"), F.stddev_pop("tpr").alias("std_tpr"))
     return mean.select(F.col("g").alias("fpr"), "mean_tpr", "std_tpr") \
         .withColumn("mean_tpr", F.when(F.col("fpr") == 1.0, F.lit(1.0)).otherwise(F.col("mean_tpr")))

@@ -80,10 +80,9 @@ def unmatched_keys(df: DataFrame, key_col: str, lookup: DataFrame, lookup_key: s
     miss = (df.select(pad_code(key_col, width).alias("__key"))
               .join(lk, on="__key", how="left_anti")
               .groupBy("__key").agg(F.count(F.lit(1)).alias("n")))
-    total = miss.agg(F.sum("n").alias("n_total"))
+    total = miss.agg(F.sum("n").alias("n_total")).first()["n_total"] or 0   # one scalar
     top_rows = miss.orderBy(F.col("n").desc(), F.col("__key").asc_nulls_first()).limit(top)
-    return (top_rows.crossJoin(F.broadcast(total))  # 1-row side
-            .select(F.col("__key").alias(key_col), "n", F.col("n_total").cast("long").alias("n_total")))
+    return top_rows.select(F.col("__key").alias(key_col), "n", F.lit(total).cast("long").alias("n_total"))
 
 
 def union_by_name(dfs: list[DataFrame]) -> DataFrame:

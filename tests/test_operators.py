@@ -126,3 +126,27 @@ def test_tree_contributions_add_up(spark):
     scored = rf.transform(df).withColumn("p1", vector_to_array("probability")[1])
     c = contributions(scored, rf, keep=["p1"], num_features=2).collect()
     assert max(abs(r.score - r.p1) for r in c) < 1e-9
+
+
+def test_mean_roc_matches_numpy_interp(spark):
+    from roadframe.operators.evaluate import mean_roc
+    rnd = random.Random(11)
+    rows = [(rnd.randint(0, 1), round(rnd.random(), 2), i % 3) for i in range(600)]
+    df = spark.createDataFrame(rows, "y int, s double, fold int")
+    got = {round(r.fpr, 9): r.mean_tpr for r in mean_roc(df, "y", "s", "fold", 100).collect()}
+    grid = np.linspace(0, 1, 100)
+    tprs = []
+    for f in range(3):
+        sub = [(y, s) for y, s, k in rows if k == f]
+        P = sum(y for y, _ in sub)
+        N = len(sub) - P
+        fpr, tpr = [0.0], [0.0]
+        for t in sorted({s for _, s in sub}, reverse=True):
+            fpr.append(sum(1 for y, s in sub if s >= t and y == 0) / N)
+            tpr.append(sum(1 for y, s in sub if s >= t and y == 1) / P)
+        it = np.interp(grid, fpr, tpr)
+        it[0] = 0.0
+        tprs.append(it)
+    ref = np.mean(tprs, axis=0)
+    ref[-1] = 1.0
+    assert np.allclose([got[round(g, 9)] for g in grid], ref, atol=1e-9)
