@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,19 +49,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder is
-    set, so that lineage cuts and staged tables never land in a
-    machine-local temp folder on a real cluster.
+    Read from the session (the setting, or a folder set with
+    ``setCheckpointDir``). Only a local session, whose driver and tasks share
+    one machine, gets a folder of its own when none is set; on a cluster a
+    machine-local folder would differ on every machine, so that is an error.
     """
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None)
+    d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    d = d or sc.getCheckpointDir()
     if not d:
-        try:
-            d = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # unset
-            d = None
-    if not d:
-        d = os.environ.get("ROADFRAME_CHECKPOINT_DIR") or "/tmp/roadframe-checkpoints"
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="roadframe-checkpoints-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
