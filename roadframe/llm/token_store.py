@@ -48,7 +48,7 @@ from roadframe.llm.bpe import word_bpe
 from roadframe.llm.registry import register
 from roadframe.session import read_table, scratch_path
 
-HEAD, TAIL, ENTRY = struct.Struct("<4sHH32s"), struct.Struct("<QQQ4s"), np.dtype([("key", "<i8"), ("null", "u1"), ("offset", "<u8"), ("size", "<u4"), ("ids", "<u8")])
+HEAD, TAIL, ENTRY = "<4sHH32s", "<QQQ4s", np.dtype([("key", "<i8"), ("null", "u1"), ("offset", "<u8"), ("size", "<u4"), ("ids", "<u8")])
 VERSION = 1
 LEVEL = 3
 #: Words that a task remembers; a full table is emptied.
@@ -159,8 +159,8 @@ def write(df: DataFrame, folder: str, encoder: Callable[[], Callable], key: str
                 name = f"shard-{b.column(2)[0].as_py():06d}.tokz"
                 temporary = f"{base}/_{name}.{uuid.uuid4().hex}"
                 out = fs.open_output_stream(temporary)
-                out.write(HEAD.pack(b"TOKZ", VERSION, id_bytes, digest))
-                at = HEAD.size
+                out.write(struct.pack(HEAD, b"TOKZ", VERSION, id_bytes, digest))
+                at = struct.calcsize(HEAD)
             for k, t in zip(keys, texts, strict=True):
                 ids = np.frombuffer(encode(t.as_py()) + tail, "<u4")
                 if int(ids.max()) >= limit:
@@ -173,11 +173,11 @@ def write(df: DataFrame, folder: str, encoder: Callable[[], Callable], key: str
         if out is not None:
             table = np.array(index, ENTRY)
             out.write(table.tobytes())
-            out.write(TAIL.pack(at, len(table), total, b"ZKOT"))
+            out.write(struct.pack(TAIL, at, len(table), total, b"ZKOT"))
             out.close()
             fs.move(temporary, f"{base}/{name}")
             known = [int(e["key"]) for e in (table[0], table[-1])]
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((name, pa.string()), (known[0], pa.int64()), (known[1], pa.int64()), (len(table), pa.int64()), (total, pa.int64()), (at + table.nbytes + TAIL.size, pa.int64()))], names=[c.split()[0] for c in MANIFEST.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((name, pa.string()), (known[0], pa.int64()), (known[1], pa.int64()), (len(table), pa.int64()), (total, pa.int64()), (at + table.nbytes + struct.calcsize(TAIL), pa.int64()))], names=[c.split()[0] for c in MANIFEST.split(", ")])
 
     shards = sorted((r.asDict() for r in dealt.mapInArrow(run, MANIFEST).collect()), key=lambda r: r["shard"])
     start = 0
@@ -198,13 +198,13 @@ class Shard:
     def __init__(self, folder: str, name: str, dictionary: bytes):
         fs, root = filesystem(folder)
         self.file = fs.open_input_file(f"{root}/{name}")
-        magic, version, self.id_bytes, digest = HEAD.unpack(self.file.read_at(HEAD.size, 0))
+        magic, version, self.id_bytes, digest = struct.unpack(HEAD, self.file.read_at(struct.calcsize(HEAD), 0))
         if magic != b"TOKZ" or version != VERSION:
             raise ValueError(f"{name}: not a token shard")
         if digest != hashlib.sha256(dictionary).digest():
             raise ValueError(f"{name}: written with another dictionary")
         size = self.file.size()
-        where, n, self.ids, end = TAIL.unpack(self.file.read_at(TAIL.size, size - TAIL.size))
+        where, n, self.ids, end = struct.unpack(TAIL, self.file.read_at(struct.calcsize(TAIL), size - struct.calcsize(TAIL)))
         if end != b"ZKOT":
             raise ValueError(f"{name}: cut off")
         self.index = np.frombuffer(self.file.read_at(n * ENTRY.itemsize, where), ENTRY)
