@@ -22,6 +22,8 @@ def register(name: str, oracle: str | None = None):
 def _load() -> None:
     from roadframe.llm import (  # noqa: F401
         bpe,
+        decontaminate,
+        quality_rules,
         simhash_gph,
         token_store,
     )
