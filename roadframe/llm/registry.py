@@ -23,9 +23,11 @@ def _load() -> None:
     from roadframe.llm import (  # noqa: F401
         bpe,
         decontaminate,
+        licenses,
         quality_rules,
         simhash_gph,
         token_store,
+        warc,
     )
 
 

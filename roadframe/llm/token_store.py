@@ -33,7 +33,6 @@ import functools
 import hashlib
 import json
 import struct
-import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -43,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadframe.llm import common
+from roadframe.llm import common, files
 from roadframe.llm.bpe import word_bpe
 from roadframe.llm.registry import register
 from roadframe.session import read_table, scratch_path
@@ -56,12 +55,6 @@ REMEMBERED_WORDS = 600_000
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
-def filesystem(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri if ":" in uri else f"file://{uri}")
-
-
 class LibraryEncoder:
     """The tokenizers library over whole texts, calling it once for each new run of characters without white space.
 
@@ -134,11 +127,9 @@ def write(df: DataFrame, folder: str, encoder: Callable[[], Callable], key: str
     """Encode and store every row of ``df``; returns the manifest. ``encoder()`` gives a task its text -> packed ids function."""
     spark = df.sparkSession
     common.bounded_batches(spark)
-    store, root = filesystem(folder)
-    store.create_dir(root, recursive=True)
+    files.make_folder(folder)
     words = train_dictionary(df, encoder, text, end_id, id_bytes, dictionary_size, sample_rows, sample_bytes)
-    with store.open_output_stream(f"{root}/dictionary.zdict") as f:
-        f.write(words)
+    files.write_bytes(folder, "dictionary.zdict", words)
     digest = hashlib.sha256(words).digest()
     dealt = (df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
              .withColumn("h", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id()))
@@ -154,11 +145,9 @@ def write(df: DataFrame, folder: str, encoder: Callable[[], Callable], key: str
         for b in batches:
             keys, texts = b.column(0).to_pylist(), b.column(1)
             if out is None:
-                fs, base = filesystem(folder)
                 encode, compress = encoder(), zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(words))
                 name = f"shard-{b.column(2)[0].as_py():06d}.tokz"
-                temporary = f"{base}/_{name}.{uuid.uuid4().hex}"
-                out = fs.open_output_stream(temporary)
+                out = files.Committed(folder, name)
                 out.write(struct.pack(HEAD, b"TOKZ", VERSION, id_bytes, digest))
                 at = struct.calcsize(HEAD)
             for k, t in zip(keys, texts, strict=True):
@@ -174,8 +163,7 @@ def write(df: DataFrame, folder: str, encoder: Callable[[], Callable], key: str
             table = np.array(index, ENTRY)
             out.write(table.tobytes())
             out.write(struct.pack(TAIL, at, len(table), total, b"ZKOT"))
-            out.close()
-            fs.move(temporary, f"{base}/{name}")
+            out.commit()
             known = [int(e["key"]) for e in (table[0], table[-1])]
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((name, pa.string()), (known[0], pa.int64()), (known[1], pa.int64()), (len(table), pa.int64()), (total, pa.int64()), (at + table.nbytes + struct.calcsize(TAIL), pa.int64()))], names=[c.split()[0] for c in MANIFEST.split(", ")])
 
@@ -185,10 +173,7 @@ def write(df: DataFrame, folder: str, encoder: Callable[[], Callable], key: str
         s["start"] = start
         start += s["ids"]
     manifest = {"version": VERSION, "id_bytes": id_bytes, "end_id": end_id, "dictionary_sha256": digest.hex(), "shards": shards}
-    temporary = f"{root}/_manifest.{uuid.uuid4().hex}"
-    with store.open_output_stream(temporary) as f:
-        f.write(json.dumps(manifest).encode())
-    store.move(temporary, f"{root}/manifest.json")
+    files.write_manifest(folder, manifest)
     return manifest
 
 
@@ -196,8 +181,8 @@ class Shard:
     """Random access to one shard."""
 
     def __init__(self, folder: str, name: str, dictionary: bytes):
-        fs, root = filesystem(folder)
-        self.file = fs.open_input_file(f"{root}/{name}")
+        store, root = files.filesystem(folder)
+        self.file = store.open_input_file(f"{root}/{name}")
         magic, version, self.id_bytes, digest = struct.unpack(HEAD, self.file.read_at(struct.calcsize(HEAD), 0))
         if magic != b"TOKZ" or version != VERSION:
             raise ValueError(f"{name}: not a token shard")
@@ -223,21 +208,9 @@ class Shard:
         return ids
 
 
-def read_dictionary(folder: str) -> bytes:
-    fs, root = filesystem(folder)
-    with fs.open_input_stream(f"{root}/dictionary.zdict") as f:
-        return f.read()
-
-
-def read_manifest(folder: str) -> dict:
-    fs, root = filesystem(folder)
-    with fs.open_input_stream(f"{root}/manifest.json") as f:
-        return json.loads(f.read())
-
-
 def read(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
     """Every stored document: key, start (ids of all documents before it), n_tokens, ids_crc32 and, if asked for, ids."""
-    manifest = read_manifest(folder)
+    manifest = files.read_manifest(folder)
     fields = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
     shards = spark.createDataFrame([(s["shard"], s["start"]) for s in manifest["shards"]], "shard string, start long")
 
@@ -245,7 +218,7 @@ def read(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
         words = None
         for b in batches:
             for name, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words = read_dictionary(folder) if words is None else words
+                words = files.read_bytes(folder, "dictionary.zdict") if words is None else words
                 shard = Shard(folder, name, words)
                 starts = start + np.cumsum(shard.index["ids"].astype("i8")) - shard.index["ids"].astype("i8")
                 for lo in range(0, len(shard), common.BATCH_ROWS):
