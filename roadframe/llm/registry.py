@@ -24,6 +24,7 @@ def _load() -> None:
         bpe,
         decontaminate,
         licenses,
+        pu_quality,
         quality_rules,
         simhash_gph,
         token_store,
