@@ -20,6 +20,7 @@ def register(name: str, oracle: str | None = None):
 
 
 def _load() -> None:
+    import corpus_pipeline
     from roadframe.llm import (  # noqa: F401
         bpe,
         decontaminate,
@@ -30,6 +31,9 @@ def _load() -> None:
         token_store,
         warc,
     )
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
