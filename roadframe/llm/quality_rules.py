@@ -4,13 +4,15 @@ Each rule rejects a document if a statistic lies beyond a cutoff. Cutoffs are
 chosen for each stratum from labelled holdouts: of the documents labelled good
 that pass the base rules, k of n lie beyond a cutoff; the cutoff is certified
 if the exact binomial tail P(X <= k), X ~ Binomial(n, risk / rules), is at most
-``error / (strata * rules * cutoffs)``. That is the exact (Clopper-Pearson)
-upper bound, with a Bonferroni correction over every cutoff that is tried, so
-with probability 1 - error no stratum loses more than a share ``risk`` of its
-good documents to all rules together. Of the certified cutoffs the one that
-rejects most of the labelled bad documents is used, less ``PRICE`` times the
-share of good ones; a rule that would reject none or has no certified cutoff
-is off in that stratum.
+``error / (strata * rules)``, which is the exact (Clopper-Pearson) upper bound.
+The division is a Bonferroni correction over strata and rules. Within one of
+them the cutoffs are a fixed sequence from the most lenient on: k grows along
+it, so the certified ones are those before the first failure and need no
+further correction. With probability 1 - error no stratum loses more than a
+share ``risk`` of its good documents to all rules together. Of the certified
+cutoffs the one that rejects most of the labelled bad documents is used, less
+``PRICE`` times the share of good ones; a rule that would reject none or has no
+certified cutoff is off in that stratum.
 
 Strata are a fixed list of values of one column; all other values and nulls
 form one more stratum, so the table of cutoffs has a fixed size.
@@ -35,7 +37,7 @@ from roadframe.llm.registry import register
 from roadframe.session import read_table
 
 STRATA = ("de", "en", "es", "fr")
-RISK, ERROR = 0.02, 0.05
+RISK, ERROR = 0.05, 0.05
 #: Shares of bad documents that the loss of a share of good ones is worth.
 PRICE = 10
 REPEAT_WINDOW = 8
@@ -129,9 +131,9 @@ def stratum(column: str, strata: tuple[str, ...]) -> Column:
     return F.when(F.col(column).isin(*strata), F.col(column)).otherwise(F.lit("other"))
 
 
-def beyond(rule: str, cutoff: Column) -> Column:
+def beyond(rule: str, cutoff: object) -> str:
     statistic, sign, _ = RULES[rule]
-    return F.expr(statistic) > cutoff if sign > 0 else F.expr(statistic) < cutoff
+    return f"{statistic} {'>' if sign > 0 else '<'} {cutoff}"
 
 
 def certify(measured: DataFrame, strata: tuple[str, ...], risk: float, error: float) -> DataFrame:
@@ -139,23 +141,15 @@ def certify(measured: DataFrame, strata: tuple[str, ...], risk: float, error: fl
 
     The result has at most len(strata) + 1 rows.
     """
-    tests = (len(strata) + 1) * sum(len(r[2]) for r in RULES.values())
-    good, bad = F.col("quality") == 1, F.col("quality") == 0
-    counts = [F.count_if(good).alias("good"), F.count_if(bad).alias("bad")]
-    for r, (_, _, cutoffs) in RULES.items():
-        for i, c in enumerate(cutoffs):
-            counts += [F.count_if(good & beyond(r, F.lit(c))).alias(f"{r}_{i}_good"), F.count_if(bad & beyond(r, F.lit(c))).alias(f"{r}_{i}_bad")]
-    table = measured.where("NOT base_failed AND quality IS NOT NULL").groupBy("stratum").agg(*counts)
-    chosen = []
-    for r, (_, _, cutoffs) in RULES.items():
-        options = []
-        for i, c in enumerate(cutoffs):
-            k, caught = F.col(f"{r}_{i}_good"), F.col(f"{r}_{i}_bad")
-            worth = caught / F.greatest(F.col("bad"), F.lit(1)) - PRICE * k / F.greatest(F.col("good"), F.lit(1))
-            certified = (F.col("good") > 0) & (binomial_tail(k, F.col("good"), risk / len(RULES)) <= error / tests)
-            options.append(F.when(certified & (caught > 0) & (worth > 0), F.struct(worth.alias("worth"), F.lit(float(i)).alias("i"), F.lit(float(c)).alias("cutoff"))))
-        chosen.append(F.array_max(F.array(*options))["cutoff"].alias(f"cut_{r}"))
-    return table.select("stratum", *chosen)
+    trials = [(r, i, float(c)) for r, (_, _, cutoffs) in RULES.items() for i, c in enumerate(cutoffs)]
+    tests = (len(strata) + 1) * len(RULES)
+    lines = [F.expr(f"struct('{r}' AS rule, {i} AS step, {c}D AS cutoff, count_if(quality = 1 AND {beyond(r, c)}) AS lost, count_if(quality = 0 AND {beyond(r, c)}) AS caught)") for r, i, c in trials]
+    table = measured.where("NOT base_failed AND quality IS NOT NULL").groupBy("stratum").agg(F.expr("count_if(quality = 1)").alias("good"), F.expr("count_if(quality = 0)").alias("bad"), F.array(*lines).alias("trials"))
+    tried = table.select("stratum", "good", "bad", F.inline("trials"))
+    tried = tried.withColumn("worth", F.expr(f"caught / greatest(bad, 1) - {PRICE} * lost / greatest(good, 1)")).where("good > 0 AND caught > 0 AND worth > 0")
+    certified = tried.where(binomial_tail(F.col("lost"), F.col("good"), risk / len(RULES)) <= error / tests)
+    best = [F.expr(f"max(CASE WHEN rule = '{r}' THEN struct(worth, step, cutoff) END).cutoff").alias(f"cut_{r}") for r in RULES]
+    return certified.groupBy("stratum").agg(*best)
 
 
 def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", strata_column: str = "lang",
@@ -167,7 +161,7 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     cuts = certify(sample, strata, risk, error)
     base = measure(common.without(docs, ["rejected_by", "kept"]), text).withColumn("__llm_stratum", stratum(strata_column, strata))
     out = base.join(F.broadcast(cuts), F.col("__llm_stratum") == F.col("stratum"), "left")
-    by = F.array_compact(F.array(*[F.when(beyond(r, F.col(f"cut_{r}")), F.lit(r)) for r in RULES]))
+    by = F.array_compact(F.array(*[F.expr(f"CASE WHEN {beyond(r, f'cut_{r}')} THEN '{r}' END") for r in RULES]))
     out = out.withColumn("rejected_by", F.when(F.col("base_failed"), F.array().cast("array<string>")).otherwise(by))
     out = out.withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
     return out.select(*[F.col(f"`{c}`") for c in base.columns if c != "__llm_stratum"], "rejected_by", "kept")
