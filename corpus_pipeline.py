@@ -33,7 +33,7 @@ def _restore(out: DataFrame, docs: DataFrame, *inputs: str) -> DataFrame:
 def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the certified cutoffs."""
     narrow = _carry(docs, *(inputs := ("doc_id", "text", "lang")))
-    judged = quality_rules.judge(narrow, read_table(spark, sf_dir, "labels")).where("kept")
+    judged = quality_rules.keep(narrow, read_table(spark, sf_dir, "labels"))
     return _restore(judged, docs, *inputs)
 
 

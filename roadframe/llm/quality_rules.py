@@ -86,7 +86,7 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """Append the statistics of each whole text (``STATS``) and ``base_failed``."""
     t = F.coalesce(F.col(text), F.lit(""))
     words = F.array_remove(F.split(t, "[ \\x09-\\x0D]+"), "")
-    lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0)
+    lines = F.filter(F.split(t, "\n"), lambda x: x.rlike("[^ \\x09-\\x0D]"))
     n = F.size
 
     def of_words(w: Column) -> Column:
@@ -143,8 +143,8 @@ def certify(measured: DataFrame, strata: tuple[str, ...], risk: float, error: fl
     """
     trials = [(r, i, float(c)) for r, (_, _, cutoffs) in RULES.items() for i, c in enumerate(cutoffs)]
     tests = (len(strata) + 1) * len(RULES)
-    lines = [F.expr(f"struct('{r}' AS rule, {i} AS step, {c}D AS cutoff, count_if(quality = 1 AND {beyond(r, c)}) AS lost, count_if(quality = 0 AND {beyond(r, c)}) AS caught)") for r, i, c in trials]
-    table = measured.where("NOT base_failed AND quality IS NOT NULL").groupBy("stratum").agg(F.expr("count_if(quality = 1)").alias("good"), F.expr("count_if(quality = 0)").alias("bad"), F.array(*lines).alias("trials"))
+    lines = [F.expr(f"struct('{r}' AS rule, {i} AS step, {c}D AS cutoff, count_if(quality = 1 AND NOT base_failed AND {beyond(r, c)}) AS lost, count_if(quality = 0 AND NOT base_failed AND {beyond(r, c)}) AS caught)") for r, i, c in trials]
+    table = measured.groupBy("stratum").agg(F.expr("count_if(quality = 1 AND NOT base_failed)").alias("good"), F.expr("count_if(quality = 0 AND NOT base_failed)").alias("bad"), F.array(*lines).alias("trials"))
     tried = table.select("stratum", "good", "bad", F.inline("trials"))
     tried = tried.withColumn("worth", F.expr(f"caught / greatest(bad, 1) - {PRICE} * lost / greatest(good, 1)")).where("good > 0 AND caught > 0 AND worth > 0")
     certified = tried.where(binomial_tail(F.col("lost"), F.col("good"), risk / len(RULES)) <= error / tests)
@@ -167,6 +167,14 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return out.select(*[F.col(f"`{c}`") for c in base.columns if c != "__llm_stratum"], "rejected_by", "kept")
 
 
+def keep(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with its columns.
+
+    The condition is tied to its place: pushed below, it would compute the statistics a second time.
+    """
+    return judge(docs, labels, **how).where(F.when(F.monotonically_increasing_id() >= 0, F.col("kept")))
+
+
 @register("op9_quality_rules")
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every whole document, strata by language."""
