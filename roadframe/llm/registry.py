@@ -25,6 +25,7 @@ def _load() -> None:
         bpe,
         decontaminate,
         licenses,
+        lm_score,
         pu_quality,
         quality_rules,
         simhash_gph,
