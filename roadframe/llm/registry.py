@@ -24,6 +24,7 @@ def _load() -> None:
     from roadframe.llm import (  # noqa: F401
         bpe,
         decontaminate,
+        html_wrapper,
         licenses,
         lm_score,
         pu_quality,
