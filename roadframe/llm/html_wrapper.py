@@ -84,9 +84,9 @@ WORDS = {
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|iframe|svg|object|audio|video|canvas|math)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>"""
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
+    r"|<(script|style|noscript|template|textarea|iframe|svg|object|audio|video|canvas|math)\b[^><]*+>.*?(?:</\1\s*>|\Z)"
+    r"""|<(/?)([a-zA-Z][^\s/><]*+)((?:[^><"']|"[^"]*"|'[^']*')*+)>"""
+    r"|<(/?)([a-zA-Z][^\s/><]*+)([^><]*+)>"
     r"|<[!?/][^>]*>?"
     r"|([^<]+|<)",
     re.S | re.I,
