@@ -45,13 +45,13 @@ MIN_WORDS, MOST_REPEATED = 20, 30
 
 #: rule -> (statistic over the columns of ``measure``, +1 if large values are bad, -1 if small ones are, cutoffs).
 RULES = {
-    "symbols": ("n_symbols / word_chars", 1, (0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2)),
-    "repeats": ("n_repeat_words / n_words", 1, (0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.25)),
+    "symbols": ("n_symbols / greatest(word_chars, 1)", 1, (0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2)),
+    "repeats": ("n_repeat_words / greatest(n_words, 1)", 1, (0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.25)),
     "dup_lines": ("n_dup_lines / greatest(n_lines, 1)", 1, (0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.7)),
-    "distinct": ("n_distinct / n_words", -1, (0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6)),
-    "long_words": ("word_chars / n_words", 1, (6.0, 6.5, 7.0, 8.0, 9.0, 10.0, 12.0)),
-    "short_words": ("word_chars / n_words", -1, (2.0, 2.5, 3.0, 3.5, 4.0, 4.25, 4.5)),
-    "capitals": ("n_capitals / word_chars", 1, (0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5)),
+    "distinct": ("n_distinct / greatest(n_words, 1)", -1, (0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6)),
+    "long_words": ("word_chars / greatest(n_words, 1)", 1, (6.0, 6.5, 7.0, 8.0, 9.0, 10.0, 12.0)),
+    "short_words": ("word_chars / greatest(n_words, 1)", -1, (2.0, 2.5, 3.0, 3.5, 4.0, 4.25, 4.5)),
+    "capitals": ("n_capitals / greatest(word_chars, 1)", 1, (0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5)),
 }
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_capitals"]
 
@@ -175,7 +175,33 @@ def keep(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     return judge(docs, labels, **how).where(F.when(F.monotonically_increasing_id() >= 0, F.col("kept")))
 
 
-@register("op9_quality_rules")
+def oracle(strata: tuple[str, ...] = STRATA, risk: float = RISK, error: float = ERROR) -> str:
+    p, tests = risk / len(RULES), (len(strata) + 1) * len(RULES)
+    trials = ", ".join(f"{{'rule': '{r}', 'step': {i}, 'cutoff': CAST({float(c)} AS DOUBLE), 'lost': count(*) FILTER (quality = 1 AND NOT base_failed AND {beyond(r, c)}), 'caught': count(*) FILTER (quality = 0 AND NOT base_failed AND {beyond(r, c)})}}" for r, (_, _, cutoffs) in RULES.items() for i, c in enumerate(cutoffs))
+    best = ", ".join(f"(max({{'worth': worth, 'step': t.step, 'cutoff': t.cutoff}}) FILTER (t.rule = '{r}')).cutoff AS cut_{r}" for r in RULES)
+    fails = " OR ".join(f"coalesce({beyond(r, f'cut_{r}')}, false)" for r in RULES)
+    return f"""
+WITH d AS (SELECT doc_id, CASE WHEN lang IN ({", ".join(f"'{x}'" for x in strata)}) THEN lang ELSE 'other' END AS stratum, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[ \\x09-\\x0D]+'), lambda x: x <> '') AS w FROM d),
+windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM (SELECT doc_id, i, array_to_string(w[i : i + {REPEAT_WINDOW - 1}], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - {REPEAT_WINDOW - 2})) AS i FROM w WHERE len(w) >= {REPEAT_WINDOW}))),
+repeats AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + {REPEAT_WINDOW})) AS p FROM windows WHERE n > 1) GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) AS n, count(DISTINCT l) AS n_distinct FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^ \\x09-\\x0D]') GROUP BY doc_id),
+s AS (SELECT w.doc_id, stratum, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+      coalesce(lines.n - lines.n_distinct, 0) AS n_dup_lines, coalesce(lines.n, 0) AS n_lines, coalesce(repeats.n, 0) AS n_repeat_words, len(list_distinct(w)) AS n_distinct, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_capitals
+      FROM w LEFT JOIN lines ON lines.doc_id = w.doc_id LEFT JOIN repeats ON repeats.doc_id = w.doc_id),
+m AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed FROM s),
+holdout AS (SELECT m.*, labels.quality FROM m JOIN labels ON labels.doc_id = m.doc_id WHERE labels.quality IN (0, 1)),
+counted AS (SELECT stratum, count(*) FILTER (quality = 1 AND NOT base_failed) AS good, count(*) FILTER (quality = 0 AND NOT base_failed) AS bad, [{trials}] AS trials FROM holdout GROUP BY stratum),
+tried AS (SELECT stratum, good, t, t.caught / greatest(bad, 1) - {PRICE} * t.lost / greatest(good, 1) AS worth FROM (SELECT stratum, good, bad, unnest(trials) AS t FROM counted)),
+certified AS (SELECT * FROM tried WHERE good > 0 AND t.caught > 0 AND worth > 0 AND t.lost < good * {p}
+              AND list_sum(list_transform(range(0, t.lost + 1), lambda i: exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) + i * ln({p}) + (good - i) * ln({1 - p})))) <= {error / tests}),
+cuts AS (SELECT stratum AS cut_stratum, {best} FROM certified GROUP BY stratum)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({fails}) AS kept
+FROM m LEFT JOIN cuts ON cuts.cut_stratum = m.stratum
+"""
+
+
+@register("op9_quality_rules", oracle())
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every whole document, strata by language."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
