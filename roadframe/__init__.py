@@ -12,7 +12,6 @@ functions  Column-expression builders (no Python UDFs)
 operators  DataFrame operators: joins, group features, statistics,
            profiling, sampling, preparation, models, evaluation, explanation
 plans      end-to-end plans (ETL, training, scoring) and the proof queries
-streaming  the same row-local plans over file streams
 """
 
 from roadframe.session import checkpoint_dir, get_spark  # noqa: F401

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadframe.session import cut_lineage
+
 
 def threshold(df: DataFrame, score_col: str, t: float, out: str = "prediction") -> DataFrame:
     """class = 1 if score >= t."""
@@ -46,54 +48,41 @@ def binary_metrics(df: DataFrame, label: str, pred: str, positive=1) -> DataFram
 
 def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """(class, precision, recall, f1, support) per class plus 'accuracy',
-    'macro avg' and 'weighted avg' rows — computed from the confusion counts."""
-    cm = df.groupBy(F.col(label).alias("y"), F.col(pred).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    support = cm.groupBy("y").agg(F.sum("n").alias("support"))
-    predicted = cm.groupBy("p").agg(F.sum("n").alias("predicted"))
-    tp = cm.filter(F.col("y") == F.col("p")).select(F.col("y"), F.col("n").alias("tp"))
-    per = (support.join(tp, "y", "left").join(predicted.withColumnRenamed("p", "y"), "y", "full")
-           .select(F.col("y").cast("string").alias("class"),
-                   F.coalesce("tp", F.lit(0)).alias("tp"),
-                   F.coalesce("support", F.lit(0)).alias("support"),
-                   F.coalesce("predicted", F.lit(0)).alias("predicted")))
-    per = per.select("class",
-                     F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("predicted").cast("double")),
-                                F.lit(0.0)).alias("precision"),
-                     F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support").cast("double")),
-                                F.lit(0.0)).alias("recall"),
-                     F.col("support").cast("long").alias("support"), "tp")
-    per = per.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
-                                                       F.col("precision") + F.col("recall")), F.lit(0.0)))
-    tot = per.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"),
-                  F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-                  F.sum(F.col("precision") * F.col("support")).alias("wp"),
-                  F.sum(F.col("recall") * F.col("support")).alias("wr"),
-                  F.sum(F.col("f1") * F.col("support")).alias("wf"))
-    acc = tot.select(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
-                     F.lit(None).cast("double").alias("recall"),
-                     (F.col("tp") / F.col("n")).alias("f1"), F.col("n").cast("long").alias("support"))
-    macro = tot.select(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"),
-                       F.col("mr").alias("recall"), F.col("mf").alias("f1"), F.col("n").cast("long").alias("support"))
-    weighted = tot.select(F.lit("weighted avg").alias("class"), (F.col("wp") / F.col("n")).alias("precision"),
-                          (F.col("wr") / F.col("n")).alias("recall"), (F.col("wf") / F.col("n")).alias("f1"),
-                          F.col("n").cast("long").alias("support"))
-    return per.select("class", "precision", "recall", "f1", "support").unionByName(acc) \
-        .unionByName(macro).unionByName(weighted)
+    'macro avg' and 'weighted avg' rows — from one grouped count of (label, prediction)."""
+    cm = df.groupBy(F.col(label).cast("string").alias("y"), F.col(pred).cast("string").alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    zero, n = F.lit(0).cast("long"), F.col("n")
+    roles = cm.select(F.inline(F.array(  # a pair counts for its label and for its prediction
+        F.struct(F.col("y").alias("class"), n.alias("support"), zero.alias("predicted"), F.when(F.col("y") == F.col("p"), n).otherwise(zero).alias("tp")),
+        F.struct(F.col("p").alias("class"), zero.alias("support"), n.alias("predicted"), zero.alias("tp")))))
+    per = roles.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "tp")])
+    ratio = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")), F.lit(0.0))
+    per = per.withColumns({"precision": ratio("tp", "predicted"), "recall": ratio("tp", "support")})
+    per = per.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)))
+    scores = ("precision", "recall", "f1")
+    tot = per.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"), *[F.avg(c).alias(f"m_{c}") for c in scores],
+                  *[(F.sum(F.col(c) * F.col("support")) / F.sum("support")).alias(f"w_{c}") for c in scores])
+    none = F.lit(None).cast("double")
+    rows = {"accuracy": (none, none, F.col("tp") / F.col("n")), "macro avg": [F.col(f"m_{c}") for c in scores], "weighted avg": [F.col(f"w_{c}") for c in scores]}
+    extra = tot.select(F.inline(F.array(*[
+        F.struct(F.lit(k).alias("class"), *[e.alias(c) for e, c in zip(v, scores)], F.col("n").cast("long").alias("support")) for k, v in rows.items()])))
+    return per.select("class", *scores, F.col("support").cast("long")).unionByName(extra.where("support IS NOT NULL"))
 
 
 def _score_counts(df: DataFrame, label: str, score: str, positive=1, keys: list[str] | None = None) -> DataFrame:
-    """(keys..., score, pos, neg) per distinct score — a map-side-combined aggregate."""
-    return df.groupBy(*(keys or []), F.col(score).cast("double").alias("score")).agg(
+    """(keys..., score, pos, neg) per distinct score — a map-side-combined aggregate, computed once
+    (reliable checkpoint) for all branches that read it."""
+    return cut_lineage(df.groupBy(*(keys or []), F.col(score).cast("double").alias("score")).agg(
         F.sum((F.col(label) == positive).cast("long")).alias("pos"),
-        F.sum((F.col(label) != positive).cast("long")).alias("neg"))
+        F.sum((F.col(label) != positive).cast("long")).alias("neg")))
 
 
-def cumulate_desc(sc: DataFrame, keys: list[str], cols: list[str], buckets: int = 256) -> DataFrame:
+def cumulate_desc(sc: DataFrame, keys: list[str], cols: list[str], range_rows: int = 50_000) -> DataFrame:
     """Running sums of ``cols`` over descending score, per ``keys``, without a
-    single-partition window: distinct scores are cut into ``buckets`` ranges
-    (approximate quantiles), each range is summed in its own window partition,
-    and a per-range offset table (at most buckets x keys rows) adds the totals
+    single-partition window: distinct scores are cut into ranges of
+    about ``range_rows`` rows (approximate quantiles), each range is summed in its own window partition,
+    and a per-range offset table (at most ranges x keys rows) adds the totals
     of all higher ranges."""
+    buckets = max(2, min(sc.count() // range_rows, 10_000))
     probs = [i / buckets for i in range(1, buckets)]
     qs = sc.agg(F.percentile_approx("score", probs, 10 * buckets).alias("q")).first()["q"] or []
     bounds = sorted(set(qs))
@@ -136,6 +125,18 @@ def auc(curve: DataFrame, x: str = "fpr", y: str = "tpr", partition_col: str | N
         F.coalesce(F.sum((F.col(x) - F.col("px")) * (F.col(y) + F.col("py")) / 2), F.lit(0.0)).alias("auc"))
 
 
+def roc_auc(df: DataFrame, label: str, score: str, positive=1, partition_col: str | None = None) -> DataFrame:
+    """Area under the ROC curve. The trapezoid of a score needs only its own and the running counts,
+    so the area is a sum over scores, added up per range: no window over the whole curve."""
+    keys = [partition_col] if partition_col else []
+    sc = _score_counts(df, label, score, positive, keys)
+    totals = sc.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    area = cumulate_desc(sc, keys, ["pos", "neg"]).groupBy(*keys).agg(
+        F.sum(F.col("neg") * (2 * F.col("cum_pos") - F.col("pos"))).alias("twice"))
+    both = area.join(F.broadcast(totals), on=keys) if keys else area.crossJoin(F.broadcast(totals))  # one row each
+    return both.select(*keys, F.coalesce(F.try_divide(F.col("twice").cast("double"), (2 * F.col("P") * F.col("N")).cast("double")), F.lit(0.0)).alias("auc"))
+
+
 def pr_curve(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
     """Exact precision-recall points (threshold, precision, recall), highest score first."""
     sc = _score_counts(df, label, score, positive)

@@ -26,6 +26,8 @@ from roadframe.session import scratch_path
 
 def node_tables(spark, model) -> dict[int, dict[str, np.ndarray]]:
     """{tree id: arrays (feature, threshold, left, right, value)} from the saved model."""
+    if "GBT" in type(model).__name__:  # its trees hold margins, not class shares
+        raise ValueError("boosted trees are not supported: their nodes hold regression statistics")
     path = scratch_path(spark, "tree-model")
     model.write().overwrite().save(path)
     data = spark.read.parquet(f"{path}/data")
@@ -33,7 +35,7 @@ def node_tables(spark, model) -> dict[int, dict[str, np.ndarray]]:
         data = data.withColumn("treeID", F.lit(0))
     rows = data.select("treeID", "nodeData.id", "nodeData.leftChild", "nodeData.rightChild",
                        "nodeData.impurityStats", "nodeData.split.featureIndex",
-                       "nodeData.split.leftCategoriesOrThreshold").collect()
+                       "nodeData.split.leftCategoriesOrThreshold", "nodeData.split.numCategories").collect()
     trees: dict[int, dict] = {}
     for r in rows:
         trees.setdefault(r["treeID"], []).append(r)
@@ -52,6 +54,8 @@ def node_tables(spark, model) -> dict[int, dict[str, np.ndarray]]:
             val[i] = (stats[1] / tot) if tot > 0 and len(stats) > 1 else 0.0
             if x["leftChild"] >= 0:
                 feat[i] = x["featureIndex"]
+                if x["numCategories"] is not None and x["numCategories"] >= 0:
+                    raise ValueError("categorical splits are not supported")
                 thr[i] = x["leftCategoriesOrThreshold"][0]
                 left[i], right[i] = x["leftChild"], x["rightChild"]
         out[tid] = {"feat": feat, "thr": thr, "left": left, "right": right, "val": val}

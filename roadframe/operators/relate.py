@@ -10,17 +10,13 @@ from pyspark.sql import functions as F
 from roadframe.functions.keys import pad_code
 from roadframe.session import cut_lineage
 
-# A lookup is broadcast only when its row count is checked to be at most
-# this (e.g. the 107-row department table); anything bigger is shuffled.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def left_join(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool = True,
+def left_join(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool = False,
               suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Left equi-join on ``keys``; clashing non-key columns get suffixes.
 
-    ``null_safe=True`` matches NULL keys to NULL keys (``<=>``), as a pandas
-    merge does; ``False`` uses plain SQL equality.
+    A row with a NULL key stays and matches nothing. ``null_safe=True`` matches
+    NULL keys to NULL keys (``<=>``), as a pandas merge does: n NULL rows on the
+    left and m on the right make n x m rows, so it is an opt-in.
     """
     keys = list(keys)
     clash = (set(left.columns) & set(right.columns)) - set(keys)
@@ -34,11 +30,6 @@ def left_join(left: DataFrame, right: DataFrame, keys: list[str], null_safe: boo
     return l.join(r, on=cond, how="left").drop(*rk.values())
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` only after counting that it has at most ``max_rows``."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def prepare_lookup(lookup: DataFrame, key: str, value: str, width: int = 2,
                    order_col: str | None = None) -> DataFrame:
     """Normalise lookup keys (zero-pad short digit codes) and keep one row per key.
@@ -54,14 +45,15 @@ def prepare_lookup(lookup: DataFrame, key: str, value: str, width: int = 2,
 
 
 def lookup_join(df: DataFrame, key_col: str, lookup: DataFrame, lookup_key: str, lookup_value: str,
-                out_col: str, width: int = 2, drop_key: bool = False,
-                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                out_col: str, width: int = 2, drop_key: bool = False, order_col: str | None = None) -> DataFrame:
     """Key -> label lookup with padded keys; a miss gives NULL.
 
+    Of several rows with one key the last by ``order_col`` counts (without it,
+    the largest value). Spark picks the join from the lookup's size.
     Normalising both sides once equals "map, and on a miss pad and map
     again": padded lookup keys can only be hit by padded data keys.
     """
-    lk = checked_broadcast(prepare_lookup(lookup, lookup_key, lookup_value, width), max_broadcast_rows)
+    lk = prepare_lookup(lookup, lookup_key, lookup_value, width, order_col)
     out = (df.withColumn("__key", pad_code(key_col, width))
              .join(lk, on="__key", how="left")
              .withColumnRenamed("__value", out_col)
@@ -76,7 +68,7 @@ def unmatched_keys(df: DataFrame, key_col: str, lookup: DataFrame, lookup_key: s
     ``n_total`` on every row is the total number of unmatched rows.
     Ties are broken by key so the report is deterministic.
     """
-    lk = checked_broadcast(lookup.select(pad_code(lookup_key, width).alias("__key")).distinct())
+    lk = lookup.select(pad_code(lookup_key, width).alias("__key")).distinct()
     miss = (df.select(pad_code(key_col, width).alias("__key"))
               .join(lk, on="__key", how="left_anti")
               .groupBy("__key").agg(F.count(F.lit(1)).alias("n")))
@@ -117,7 +109,7 @@ def fill_missing_ids(df: DataFrame, id_col: str, order_cols: list[str], num_part
     sequence. No single-partition window. ``order_cols`` should be a total
     order; the id column is coerced to long (non-numeric -> NULL -> filled).
     """
-    work = df.withColumn(id_col, F.col(id_col).cast("string").try_cast("double").try_cast("long"))
+    work = df.withColumn(id_col, F.coalesce(F.col(id_col).cast("string").try_cast("long"), F.col(id_col).cast("string").try_cast("double").try_cast("long")))
     mx = work.agg(F.max(id_col).alias("m")).first()["m"] or 0
     have = work.filter(F.col(id_col).isNotNull())
     miss = work.filter(F.col(id_col).isNull())

@@ -1,26 +1,27 @@
 """Exact order statistics without a global sort or a whole-column collect.
 
 ``kth_smallest`` finds the k-th smallest value of a column (optionally per
-group) by bracket refinement:
-
-1. every (group, rank) starts with the bracket (-inf, +inf];
-2. one aggregation per round splits each bracket into ``buckets`` ranges
-   (quantile boundaries from ``percentile_approx``, or equal width for
-   uniform values such as hashes) and counts the rows per range;
-3. the range that holds the rank becomes the new bracket;
-4. once a bracket holds at most ``max_collect`` *distinct* values, their
-   (value, count) pairs are fetched and the rank is read off exactly.
-
-Only bounded data reaches the driver: split points, per-range counts and
-at most ``max_collect`` (value, count) pairs per bracket. A hot value that
-holds a third of the rows is one (value, count) pair, not a third of the
-rows. Each round is a column-pruned scan plus a map-side-combined
-aggregate, so the work is spread over all executors.
+group) by narrowing brackets:
+
+1. every (group, rank) starts with the bracket (-inf, +inf);
+2. a bracket with at most ``max_collect`` *rows* is fetched as (value, count)
+   pairs and the rank is read off;
+3. otherwise its smallest and largest value and approximate quantiles become
+   split points, and one aggregation counts the rows equal to every point and
+   strictly between neighbours. A rank that falls on a point is solved; one
+   that falls between two points goes on with that open range.
+
+A hot value is a quantile of its bracket, so it becomes a point of its own and
+never fills a range. Every range leaves out all split points, and a round whose
+range is not smaller than its bracket raises an error: the driver never fetches
+more than the limit. Rounds grow with the logarithm of the row count to the
+base ``buckets``; each is a column-pruned scan and a map-side-combined aggregate.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -36,9 +37,10 @@ _BUCKET = "__bk"
 class _Bracket:
     group: object
     lo: object          # exclusive lower bound, None = -inf
-    hi: object          # inclusive upper bound, None = +inf
+    hi: object          # exclusive upper bound, None = +inf
     below: int          # rows of the group with value <= lo
     ranks: list         # 0-based ranks (within the group) to resolve here
+    rows: int | None    # rows in the bracket, None before the first count
 
 
 def _in_bracket(b: _Bracket, has_group: bool) -> Column:
@@ -48,7 +50,7 @@ def _in_bracket(b: _Bracket, has_group: bool) -> Column:
     if b.lo is not None:
         cond = cond & (F.col(_VAL) > F.lit(b.lo))
     if b.hi is not None:
-        cond = cond & (F.col(_VAL) <= F.lit(b.hi))
+        cond = cond & (F.col(_VAL) < F.lit(b.hi))
     return cond
 
 
@@ -59,135 +61,121 @@ def _tag(data: DataFrame, brackets: list[_Bracket], has_group: bool) -> DataFram
 
 
 def kth_smallest(df: DataFrame, value_col: str, ranks, group_col: str | None = None,
-                 buckets: int = 256, max_collect: int = 20000, uniform: bool = False,
-                 max_rounds: int = 64) -> dict:
+                 buckets: int = 256, max_collect: int = 20000, uniform: bool = False) -> dict:
     """Exact k-th smallest values.
 
-    ``ranks``: list of 0-based ranks (no groups) or ``{group: [ranks]}``.
+    ``ranks``: list of 0-based ranks (no groups) or ``{group: [ranks]}``; a
+    group's ranks may be a function of its size. ``uniform``: the values are
+    spread evenly (hashes), so the first round splits by equal width.
     Returns ``{(group, rank): value}`` (group is None without ``group_col``).
     """
     has_group = group_col is not None
-    # the narrow (group, value) projection is scanned once per round: keep it
+    # the narrow (group, value) projection is scanned a few times: keep it
     # (memory, spilling to disk) so upstream joins are not re-run every round;
     # a lost block is recomputed from lineage
     data = df.select((F.col(group_col) if has_group else F.lit(None)).alias(_GROUP),
                      F.col(value_col).alias(_VAL)).filter(F.col(_VAL).isNotNull()) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _refine(data, ranks, has_group, buckets, max_collect, uniform, max_rounds)
+        return _refine(data, ranks if isinstance(ranks, dict) else {None: ranks}, has_group, buckets, max_collect, uniform)
     finally:
         data.unpersist()
 
 
-def _refine(data: DataFrame, ranks, has_group: bool, buckets: int, max_collect: int, uniform: bool,
-            max_rounds: int) -> dict:
-    if not isinstance(ranks, dict):
-        ranks = {None: ranks}
-    # a group's ranks may be a function of the group size n: it is resolved
-    # from the first round's counts (no separate counting job)
-    active = [_Bracket(g, None, None, 0, rs if callable(rs) else sorted(set(int(r) for r in rs)))
+def _refine(data: DataFrame, ranks: dict, has_group: bool, buckets: int, max_collect: int, uniform: bool) -> dict:
+    active = [_Bracket(g, None, None, 0, rs if callable(rs) else sorted({int(r) for r in rs}), None)
               for g, rs in ranks.items() if callable(rs) or rs]
     result: dict = {}
-    lo_hi = None
-    if uniform:
-        mm = data.agg(F.min(_VAL).alias("lo"), F.max(_VAL).alias("hi")).first()
-        lo_hi = (mm["lo"], mm["hi"])
-    rounds = 0
+    first = True
     while active:
-        rounds += 1
+        big, small = [], []
         tagged = _tag(data, active, has_group)
-        # distinct size of every bracket decides: finish now or split again
-        stats = {r[_BID]: (r["n"], r["nd"]) for r in
-                 tagged.groupBy(_BID).agg(F.count(F.lit(1)).alias("n"),
-                                          F.approx_count_distinct(_VAL, 0.02).alias("nd")).collect()}
+        found = {r[_BID]: r for r in tagged.groupBy(_BID).agg(
+            F.count(F.lit(1)).alias("n"), F.min(_VAL).alias("lo"), F.max(_VAL).alias("hi"),
+            *([] if uniform and first else [F.percentile_approx(_VAL, [j / buckets for j in range(1, buckets)], 10 * buckets).alias("q")])).collect()}
         for i, b in enumerate(active):
+            n = found[i]["n"] if i in found else 0
             if callable(b.ranks):
-                b.ranks = sorted(set(int(r) for r in b.ranks(stats.get(i, (0, 0))[0])))
-        live = [i for i, b in enumerate(active) if b.ranks]
-        small = [i for i in live if stats.get(i, (0, 0))[1] <= max_collect or rounds >= max_rounds]
-        big = [i for i in live if i not in small]
-        if small:
-            pairs = (tagged.filter(F.col(_BID).isin(small))
-                     .groupBy(_BID, _VAL).agg(F.count(F.lit(1)).alias("c")).collect())
-            per: dict = {}
-            for r in pairs:
-                per.setdefault(r[_BID], []).append((r[_VAL], r["c"]))
-            for i in small:
-                b = active[i]
-                vals = sorted(per.get(i, []), key=lambda t: t[0])
-                for k in b.ranks:
-                    pos = k - b.below
-                    acc = 0
-                    val = None
-                    for v, c in vals:
-                        acc += c
-                        if pos < acc:
-                            val = v
-                            break
-                    if val is None:
-                        raise ValueError(f"rank {k} out of range for group {b.group!r}")
-                    result[(b.group, k)] = val
-        if not big:
-            break
-        # split points per big bracket
-        bounds: dict[int, list] = {}
-        if uniform:
-            for i in big:
-                b = active[i]
-                lo = lo_hi[0] if b.lo is None else b.lo
-                hi = lo_hi[1] if b.hi is None else b.hi
-                if isinstance(lo, int) and isinstance(hi, int):
-                    step = max((hi - lo) // buckets, 1)
-                    pts = sorted(set(min(lo + step * j, hi) for j in range(1, buckets)))
-                else:
-                    pts = sorted(set(lo + (hi - lo) * j / buckets for j in range(1, buckets)))
-                bounds[i] = pts
-        else:
-            probs = [j / buckets for j in range(1, buckets)]
-            rows = (tagged.filter(F.col(_BID).isin(big)).groupBy(_BID)
-                    .agg(F.percentile_approx(_VAL, probs, 10 * buckets).alias("q")).collect())
-            for r in rows:
-                bounds[r[_BID]] = sorted(set(r["q"]))
-        bucket_expr = None
-        for i in big:
-            arr = F.array(*[F.lit(x) for x in bounds.get(i, [])]) if bounds.get(i) else F.array().cast(
-                "array<double>")
-            cnt = F.size(F.filter(arr, lambda x: x < F.col(_VAL)))
-            bucket_expr = (F.when(F.col(_BID) == i, cnt) if bucket_expr is None
-                           else bucket_expr.when(F.col(_BID) == i, cnt))
-        counts: dict = {}
-        for r in (tagged.filter(F.col(_BID).isin(big)).withColumn(_BUCKET, bucket_expr)
-                  .groupBy(_BID, _BUCKET).agg(F.count(F.lit(1)).alias("c")).collect()):
-            counts.setdefault(r[_BID], {})[r[_BUCKET]] = r["c"]
-        nxt: list[_Bracket] = []
-        for i in big:
-            b = active[i]
-            pts = bounds.get(i, [])
-            cb = counts.get(i, {})
-            # bucket j holds values in (pts[j-1], pts[j]]; last bucket (pts[-1], hi]
-            cum = b.below
-            groups: dict[int, list] = {}
-            starts: dict[int, int] = {}
-            j = 0
-            remaining = list(b.ranks)
-            for j in range(len(pts) + 1):
-                c = cb.get(j, 0)
-                for k in list(remaining):
-                    if cum <= k < cum + c:
-                        groups.setdefault(j, []).append(k)
-                        starts[j] = cum
-                        remaining.remove(k)
-                cum += c
-            if remaining:
-                raise ValueError(f"ranks {remaining} out of range for group {b.group!r}")
-            for j, ks in groups.items():
-                lo = b.lo if j == 0 else pts[j - 1]
-                hi = b.hi if j == len(pts) else pts[j]
-                nxt.append(_Bracket(b.group, lo, hi, starts[j], ks))
-        active = nxt
+                b.ranks = sorted({int(r) for r in b.ranks(n)})
+            if not b.ranks:
+                continue
+            if b.ranks[-1] - b.below >= n or b.ranks[0] < 0:
+                raise ValueError(f"rank {b.ranks[-1]} out of range for group {b.group!r}")
+            if b.rows is not None and b.rows != n:
+                raise RuntimeError("the data changed between two passes")
+            b.rows = n
+            (small if n <= max_collect else big).append(i)
+        result.update(_collected(tagged, active, small, max_collect))
+        points = {i: _points(found[i], buckets, uniform and first) for i in big}
+        active = _narrowed(tagged, active, points, result) if big else []
+        first = False
     return result
 
 
+def _points(row, buckets: int, even: bool) -> list:
+    """Split points of a bracket: its ends, and quantiles or even steps between them."""
+    lo, hi = row["lo"], row["hi"]
+    if not even:
+        return sorted({lo, hi, *(x for x in row["q"] if lo <= x <= hi)})
+    if isinstance(lo, int):
+        return sorted({lo, hi, *(lo + (hi - lo) * j // buckets for j in range(1, buckets))})
+    return sorted({lo, hi, *(lo + (hi - lo) * j / buckets for j in range(1, buckets))})
+
+
+def _collected(tagged: DataFrame, active: list[_Bracket], small: list[int], max_collect: int) -> dict:
+    """Ranks of brackets small enough to fetch, a bounded number of rows at a time."""
+    result: dict = {}
+    while small:
+        part, rows = [], 0
+        while small and (not part or rows + active[small[0]].rows <= max_collect):
+            rows += active[small[0]].rows
+            part.append(small.pop(0))
+        per: dict = {}
+        for r in tagged.filter(F.col(_BID).isin(part)).groupBy(_BID, _VAL).agg(F.count(F.lit(1)).alias("c")).collect():
+            per.setdefault(r[_BID], []).append((r[_VAL], r["c"]))
+        for i in part:
+            at = active[i].below
+            ranks = iter(active[i].ranks)
+            k = next(ranks, None)
+            for v, c in sorted(per[i], key=lambda t: t[0]):
+                at += c
+                while k is not None and k < at:
+                    result[active[i].group, k] = v
+                    k = next(ranks, None)
+    return result
+
+
+def _narrowed(tagged: DataFrame, active: list[_Bracket], points: dict[int, list], result: dict) -> list[_Bracket]:
+    """Count rows on and between the split points; solve ranks on points, and return the ranges that hold the others."""
+    place = None
+    for i, pts in points.items():
+        arr = F.array(*[F.lit(x) for x in pts])
+        # 2 j: strictly below point j and above the one before; 2 j + 1: equal to point j
+        code = 2 * F.size(F.filter(arr, lambda x: x < F.col(_VAL))) + F.array_contains(arr, F.col(_VAL)).cast("int")
+        place = F.when(F.col(_BID) == i, code) if place is None else place.when(F.col(_BID) == i, code)
+    counts: dict = {}
+    for r in (tagged.filter(F.col(_BID).isin(list(points))).withColumn(_BUCKET, place)
+              .groupBy(_BID, _BUCKET).agg(F.count(F.lit(1)).alias("c")).collect()):
+        counts.setdefault(r[_BID], {})[r[_BUCKET]] = r["c"]
+    out = []
+    for i, pts in points.items():
+        b, at = active[i], active[i].below
+        left = list(b.ranks)
+        for code in range(2 * len(pts) + 1):
+            c = counts[i].get(code, 0)
+            inside = [k for k in left if at <= k < at + c]
+            left = left[len(inside):]
+            if inside and code % 2:
+                result.update({(b.group, k): pts[code // 2] for k in inside})
+            elif inside:
+                if c >= b.rows:
+                    raise RuntimeError("a round made no progress")
+                j = code // 2
+                out.append(_Bracket(b.group, b.lo if j == 0 else pts[j - 1], b.hi if j == len(pts) else pts[j], at, inside, c))
+            at += c
+    return out
+
+
 def exact_medians(df: DataFrame, cols: list[str], **kw) -> dict[str, float | None]:
     """Exact medians (mean of the two middle values) of several columns.
 
@@ -219,6 +207,26 @@ def exact_medians(df: DataFrame, cols: list[str], **kw) -> dict[str, float | Non
     return out
 
 
+def medians_by_value(df: DataFrame, cols: list[str], max_values: int = 20000) -> dict[str, float | None]:
+    """Exact medians of columns with few distinct values (clipped ones): one job that counts each value.
+
+    At most ``max_values`` pairs reach the driver; more distinct values raise an error (use ``exact_medians``).
+    """
+    stacked = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("double").alias("value")) for c in cols])))
+    rows = stacked.filter(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n")).limit(max_values + 1).collect()
+    if len(rows) > max_values:
+        raise ValueError(f"more than {max_values} distinct values")
+    out: dict[str, float | None] = {}
+    for c in cols:
+        pairs = sorted((r["value"], r["n"]) for r in rows if r["name"] == c)
+        n = sum(k for _, k in pairs)
+        at = [0, *accumulate(k for _, k in pairs)]
+        mid = [next(v for (v, _), end in zip(pairs, at[1:]) if r < end) for r in ((n - 1) // 2, n // 2)] if n else None
+        out[c] = sum(mid) / 2 if mid else None
+    return out
+
+
 def exact_median(df: DataFrame, col: str, **kw) -> float | None:
     return exact_medians(df, [col], **kw)[col]
 

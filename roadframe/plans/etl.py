@@ -1,9 +1,11 @@
-"""End-to-end ETL plan: raw accident tables -> one wide row per road user.
-
-One lazy plan from scan to sink. Shuffles: the two-key user/vehicle join,
-the accident-key joins (co-partitioned on the accident key), one
-aggregate for all per-accident group features, and the final
-de-duplication. The medians add a few small aggregate jobs.
+"""Feature plan: raw accident tables -> one wide row per road user.
+
+The full-width join tree (users, vehicles, accidents, places) stands once in
+the plan. Group features come from the users and their vehicles alone: distinct
+counts don't change under the later joins, and class counts are multiplied by
+the number of accident and place rows that an accident is joined to. Medians
+count the values of the clipped columns over the same joins reduced to them
+(their domains are bounded by the clips).
 """
 
 from __future__ import annotations
@@ -19,10 +21,10 @@ from roadframe.functions.cleaning import (
 )
 from roadframe.functions.flags import flag_columns
 from roadframe.functions.recode import collapse_target, recode_columns
-from roadframe.operators.group import group_features
+from roadframe.operators.group import group_table, join_group_table
 from roadframe.operators.relate import drop_duplicate_rows, left_join, lookup_join
 from roadframe.operators.schema import drop_if_present, rename_if_present
-from roadframe.operators.stats import exact_medians
+from roadframe.operators.stats import medians_by_value
 
 
 @dataclass
@@ -42,6 +44,8 @@ class AccidentConfig:
     vehicle_key: str = "id_vehicule"
     user_key: str = "id_usager"
     dedup: bool = True
+    # match NULL join keys with each other, as a pandas merge does (n x m rows)
+    match_null_keys: bool = False
 
 
 def preprocess(df: DataFrame, prefix: str, cfg: AccidentConfig) -> DataFrame:
@@ -56,15 +60,40 @@ def join_tables(usagers: DataFrame, vehicules: DataFrame, caracteristiques: Data
                 lieux: DataFrame, cfg: AccidentConfig) -> DataFrame:
     """users ⟕ vehicles (2 keys) ⟕ accidents ⟕ places, all left joins."""
     k, v = cfg.accident_key, cfg.vehicle_key
-    ns = cfg.compat
+    ns = cfg.match_null_keys
     df = left_join(usagers, vehicules, [v, k], null_safe=ns)
     df = left_join(df, caracteristiques, [k], null_safe=ns)
     df = left_join(df, lieux, [k], null_safe=ns)
     return df
 
 
+def accident_features(usagers: DataFrame, vehicules: DataFrame, caracteristiques: DataFrame,
+                      lieux: DataFrame, cfg: AccidentConfig) -> DataFrame:
+    """Per accident: distinct vehicles and users, and user rows of each vehicle class after all joins."""
+    k, v, u = cfg.accident_key, cfg.vehicle_key, cfg.user_key
+    users = usagers.select(*[c for c in (k, v, u) if c in usagers.columns])
+    has_class = "catv" in vehicules.columns
+    rows = left_join(users, vehicules.select(v, k, *(["catv"] if has_class else [])), [v, k], null_safe=cfg.match_null_keys)
+    if has_class:
+        rows = recode_columns(rows, {c: r for c, r in cfg.recode_rules.items() if c == "catv"})
+    distinct = {}
+    if v in rows.columns:
+        rows = rows.withColumn(v, strip_to_long(v))
+        distinct["nb_v"] = v
+    if u in rows.columns:
+        distinct["nb_u"] = u
+    classes = cfg.vehicle_classes if has_class else []
+    table = group_table(rows, k, distinct, "catv", classes)
+    times = F.lit(1)
+    for i, other in enumerate((caracteristiques, lieux)):  # every row of the accident there repeats its users
+        table = table.join(other.groupBy(k).agg(F.count(F.lit(1)).alias(f"__rows_{i}")), on=k, how="left")
+        times = times * F.coalesce(F.col(f"__rows_{i}"), F.lit(1))
+    return table.withColumns({f"count_{x}": F.col(f"count_{x}") * times for x in classes}).drop("__rows_0", "__rows_1")
+
+
 def engineer_features(df: DataFrame, regions: DataFrame | None, cfg: AccidentConfig,
-                      lookup_key: str = "departement", lookup_value: str = "region") -> DataFrame:
+                      lookup_key: str = "departement", lookup_value: str = "region",
+                      per_accident: DataFrame | None = None) -> DataFrame:
     """Recode, group features, cleaning, dates, lookup, target — one user row in, one out."""
     k, v, u = cfg.accident_key, cfg.vehicle_key, cfg.user_key
     last, first = cfg.years[-1], cfg.years[0]
@@ -80,19 +109,15 @@ def engineer_features(df: DataFrame, regions: DataFrame | None, cfg: AccidentCon
     # which is 1:1 and does not change them.
     src = {"jour": "mois"} if cfg.compat else {}
     need = sorted({src.get(c, c) for c in clipped})
-    med = exact_medians(df.select(*[clipped[c].alias(c) for c in need]), need)
+    med = medians_by_value(df.select(*[clipped[c].alias(c) for c in need]), need)
 
     df = recode_columns(df, cfg.recode_rules)
     if v in df.columns:
         df = df.withColumn(v, strip_to_long(v))
-    distinct = {}
-    if k in df.columns and v in df.columns:
-        distinct["nb_v"] = v
-    if k in df.columns and u in df.columns:
-        distinct["nb_u"] = u
-    df = group_features(df, k, distinct_counts=distinct,
-                        class_col="catv" if "catv" in df.columns else None,
-                        classes=cfg.vehicle_classes if "catv" in df.columns else [])
+    classes = cfg.vehicle_classes if "catv" in df.columns else []
+    if per_accident is None:
+        per_accident = group_table(df, k, {n: c for n, c in (("nb_v", v), ("nb_u", u)) if c in df.columns}, "catv", classes)
+    df = join_group_table(df, per_accident, k, "catv", classes)
     df = drop_if_present(df, R.KEY_COLUMNS_DROPPED if k == "Num_Acc" else
                          [c for c in (k, v, u, "num_veh", "num_veh_x", "num_veh_y")])
     filled = {c: F.coalesce(e.cast("double"), F.lit(med[src.get(c, c)]).cast("double")) for c, e in clipped.items()}
@@ -107,7 +132,8 @@ def engineer_features(df: DataFrame, regions: DataFrame | None, cfg: AccidentCon
     if "lartpc" in df.columns:
         df = df.withColumn("tpc", nonzero_flag("lartpc", null_as=1 if cfg.compat else 0)).drop("lartpc")
     if "dep" in df.columns and regions is not None:
-        df = lookup_join(df, "dep", regions, lookup_key, lookup_value, "reg", drop_key=True)
+        df = lookup_join(df, "dep", regions, lookup_key, lookup_value, "reg", drop_key=True,
+                         order_col="line" if "line" in regions.columns else None)
     if "grav" in df.columns:
         df = collapse_target(df, "grav", R.GRAV_COLLAPSE, R.GRAV_DROP, R.GRAV_SHIFT)
     return df
@@ -129,7 +155,7 @@ def build_user_table(usagers: DataFrame, vehicules: DataFrame, caracteristiques:
     """The whole feature plan: joins -> features -> flags -> de-duplication."""
     cfg = cfg or AccidentConfig()
     df = join_tables(usagers, vehicules, caracteristiques, lieux, cfg)
-    df = engineer_features(df, regions, cfg)
+    df = engineer_features(df, regions, cfg, per_accident=accident_features(usagers, vehicules, caracteristiques, lieux, cfg))
     df = add_boolean_features(df, cfg)
     return drop_duplicate_rows(df) if cfg.dedup else df
 
@@ -139,5 +165,5 @@ def regions_table(spark) -> DataFrame:
     import csv
     import io
     rows = list(csv.DictReader(io.StringIO(R.REGIONS_CSV)))
-    return spark.createDataFrame([(r["departement"], r["region"]) for r in rows],
-                                 "departement string, region string")
+    return spark.createDataFrame([(r["departement"], r["region"], i) for i, r in enumerate(rows)],
+                                 "departement string, region string, line int")

@@ -168,7 +168,7 @@ def department_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("unmatched_department_report", f"""{V.duckdb_with_clause()},
-lk AS (SELECT DISTINCT {sql_pad('departement')} AS k FROM regions WHERE CAST(departement AS INTEGER) < 20),
+lk AS (SELECT DISTINCT {sql_pad('departement')} AS k FROM regions),
 miss AS (SELECT {sql_pad('c.dep')} AS dep, count(*) AS n FROM caracteristiques c
          WHERE {sql_pad('c.dep')} NOT IN (SELECT k FROM lk) GROUP BY 1),
 tot AS (SELECT CAST(sum(n) AS BIGINT) AS n_total FROM miss)
@@ -176,11 +176,9 @@ SELECT dep, n, n_total FROM (SELECT * FROM miss ORDER BY n DESC, dep ASC LIMIT 1
 """)
 def unmatched_department_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys missing from the lookup — total and the 10 most frequent."""
-    from pyspark.sql import functions as F
-
     from roadframe.operators.relate import unmatched_keys
     t = accident_tables(spark, sf_dir)
-    lk = t["regions"].filter(F.col("departement").cast("int") < 20)
+    lk = t["regions"]
     return unmatched_keys(t["caracteristiques"], "dep", lk, "departement", top=10)
 
 
@@ -188,9 +186,10 @@ def _year_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     from pyspark.sql import functions as F
 
     from roadframe.session import read_table
+    from roadframe.plans.queries_io import order_years
     o = read_table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
     parts = []
-    for y in range(1995, 2002):
+    for y in order_years(spark, sf_dir):
         cols = ["o_orderkey", "o_custkey", "o_totalprice", "year"] + (["o_orderpriority"] if y >= 1998 else [])
         parts.append(o.filter(F.col("year") == y).select(*cols))
     return parts
@@ -199,7 +198,7 @@ def _year_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 @register("orders_year_union", """
 SELECT o_orderkey, o_custkey, o_totalprice, year(o_orderdate) AS year,
        CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS o_orderpriority
-FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2001
+FROM orders WHERE o_orderdate IS NOT NULL
 """)
 def orders_year_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Union of yearly slices by column name; a column absent in old years -> NULL."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadframe.plans.catalog import register
-from roadframe.session import read_table
+from roadframe.session import read_table, scratch_path
 
 _LABELED = """SELECT *, l_returnflag AS label FROM lineitem"""
 
@@ -117,14 +117,16 @@ _TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 @register("one_hot_drop_first", "SELECT p_partkey, " + ", ".join(
-    f"CASE WHEN p_type = '{t}' THEN 1.0 ELSE 0.0 END AS p_type_{t}" for t in _TYPES[1:]) + " FROM part")
+    f"CASE WHEN t = '{t}' THEN 1.0 ELSE 0.0 END AS p_type_{t}" for t in [*_TYPES[1:], "nan"])
+    + " FROM (SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 'UNSEEN' WHEN p_partkey % 11 = 0 THEN 'nan' ELSE p_type END AS t FROM part) x")
 def one_hot_drop_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One 0/1 column per category except the (sorted) first; unseen -> zeros.
-    Categories are fitted on half of the rows and applied to all."""
+    """One 0/1 column per category except the (sorted) first; unseen -> zeros, NULL -> its own category (G1).
+    Categories are fitted on all rows; the rows they are applied to hold a further value."""
     from roadframe.operators.prep import apply_one_hot, fit_categories
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    cats = fit_categories(p.filter(F.col("p_partkey") % 2 == 0), ["p_type"])
-    out, _ = apply_one_hot(p, cats)
+    p = read_table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 11 != 0, F.col("p_type")).alias("p_type"))
+    cats = fit_categories(p, ["p_type"], null_as="nan")
+    seen = p.withColumn("p_type", F.when(F.col("p_partkey") % 7 == 0, F.lit("UNSEEN")).otherwise(F.col("p_type")))
+    out, _ = apply_one_hot(seen, cats, null_as="nan")
     return out
 
 
@@ -270,9 +272,9 @@ seg AS (SELECT fpr, tpr, lag(fpr) OVER (ORDER BY fpr, tpr) AS px, lag(tpr) OVER
 SELECT COALESCE(sum((fpr - px) * (tpr + py) / 2), 0.0) AS auc FROM seg
 """)
 def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trapezoid AUC of the exact ROC."""
-    from roadframe.operators.evaluate import auc
-    return auc(_roc(spark, sf_dir))
+    """Trapezoid AUC of the exact ROC, as a sum over scores."""
+    from roadframe.operators import evaluate
+    return evaluate.roc_auc(_scored(spark, sf_dir), "y", "score")
 
 
 @register("pr_points", f"""
@@ -334,51 +336,64 @@ def mean_fold_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# models, scoring, explanations (ML results are range-checked in tests)
+# models, scoring, explanations: fitted on labelled documents, applied to all
 # --------------------------------------------------------------------------
-def document_features(spark: SparkSession, sf_dir: str):
-    """labels ⋈ documents -> prepared feature vector + 0/1 label (quality)."""
+def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; label (quality) and toxic are NULL where a document has no label."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"), "toxic")
+    return docs.join(lab, "doc_id", "left").withColumn("log_chars", F.log1p("n_chars"))
+
+
+def prepared(train: DataFrame, *frames: DataFrame):
+    """Fit fill, scaling and categories on ``train`` alone, and give every frame its feature vector."""
     from roadframe.operators.prep import apply_fill, apply_min_max, apply_one_hot, assemble, fit_categories, \
         fit_mean, fit_min_max
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"), "toxic")
-    df = docs.join(lab, "doc_id").withColumn("log_chars", F.log1p("n_chars")) \
-        .withColumn("label", F.col("label").cast("double"))
-    num = ["n_chars", "log_chars", "toxic"]
-    df = apply_fill(df, fit_mean(df, num))
-    df = apply_min_max(df, fit_min_max(df, num))
-    cats = fit_categories(df, ["lang", "source"])
-    df, names = apply_one_hot(df, cats, keep_source=False)
-    feats = num + names
-    return assemble(df, feats), feats
+    num, cat = ["n_chars", "log_chars", "toxic"], ["lang", "source"]
+    mean = fit_mean(train, num)
+    scale = fit_min_max(apply_fill(train, mean), num)
+    cats = fit_categories(train, cat)
+    out = []
+    for df in frames:
+        df, names = apply_one_hot(apply_min_max(apply_fill(df, mean), scale), cats, keep_source=False)
+        out.append(assemble(df, num + names))
+    return out, num + names
+
+
+def document_features(spark: SparkSession, sf_dir: str):
+    """(labelled documents, all documents) with features fitted on the labelled ones, and the features' names."""
+    rows = document_rows(spark, sf_dir)
+    labelled = rows.filter(F.col("label").isNotNull())
+    frames, feats = prepared(labelled, labelled, rows)
+    return (*frames, feats)
+
+
+# draws of the registered search; the operator's default is 30
+SEARCH_DRAWS, SEARCH_FOLDS = 2, 5
 
 
 @register("severity_model_search")
 def severity_model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Split, stratified folds, random search
-    with fit-time under-sampling, refit, threshold, metrics, save/load."""
+    """Split, features fitted on the training part,
+    stratified folds, random search of each model with fit-time under-sampling, refit,
+    threshold, metrics, save/load."""
     from roadframe.operators.evaluate import binary_metrics, threshold
     from roadframe.operators.models import (
-        describe_model, draw_params, fit_pipeline, load_model, predict_proba, random_search_cv, save_model,
+        describe_model, load_model, predict_proba, random_search_cv, save_model,
     )
     from roadframe.operators.sample import stratified_folds, stratified_split
-    df, feats = document_features(spark, sf_dir)
-    split = stratified_split(df, "label", 0.2, seed=42)
-    train = stratified_folds(split.filter(F.col("split") == "train"), "label", k=2)
-    test = split.filter(F.col("split") == "test")
+    split = stratified_split(document_rows(spark, sf_dir).filter(F.col("label").isNotNull()), "label", 0.2, seed=42)
+    train, test = (split.filter(F.col("split") == x) for x in ("train", "test"))
+    (train, test), feats = prepared(train, train, test)
+    train = stratified_folds(train.drop("split"), "label", k=SEARCH_FOLDS)
     rows = []
-    for name, n_iter in (("random_forest", 2), ("logistic_regression", 0), ("gbt", 0), ("decision_tree", 0)):
-        if n_iter > 0:
-            res = random_search_cv(train, "fold", [], name, "features", "label", n_iter=n_iter, seed=42)
-            fitted, cv = res.model, res.best_score
-        else:
-            params = draw_params(name, 1, 42)[0] | ({"maxIter": 10} if name == "gbt" else {})
-            fitted, cv = fit_pipeline(train, [], name, params, "features", "label", True, 42), float("nan")
-        model = load_model(save_model(fitted, spark, name))
+    for name in ("random_forest", "logistic_regression", "gbt", "decision_tree"):
+        res = random_search_cv(train, "fold", [], name, "features", "label", n_iter=1 if name == "decision_tree" else SEARCH_DRAWS, seed=42)
+        model = load_model(save_model(res.model, spark, name))
         scored = threshold(predict_proba(model, test), "p1", 0.6, "pred")
         m = binary_metrics(scored, "label", "pred").first()
         info = describe_model(model)
-        rows += [(name, "cv_accuracy", float(cv)), (name, "test_accuracy", float(m["accuracy"])),
+        rows += [(name, "cv_accuracy", float(res.best_score)), (name, "test_accuracy", float(m["accuracy"])),
                  (name, "num_features", float(info["numFeatures"] or len(feats)))]
     # one row per (model, metric): results of the distributed fits above
     return spark.createDataFrame(rows, "model string, metric string, value double")
@@ -386,35 +401,35 @@ def severity_model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("adaboost_predictions")
 def adaboost_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boosted depth-3 trees (weighted Spark trees + weight updates)."""
+    """Boosted depth-3 trees (weighted Spark trees + weight updates), 50 rounds, applied to all documents."""
     from roadframe.operators.models import adaboost, adaboost_predict
-    df, _ = document_features(spark, sf_dir)
-    learners = adaboost(df, "features", "label", rounds=5, depth=3)
-    return adaboost_predict(learners, df, "features").select("doc_id", "label", "prediction")
+    labelled, rows, _ = document_features(spark, sf_dir)
+    learners = adaboost(labelled, "features", "label", rounds=50, depth=3)
+    return adaboost_predict(learners, rows, "features").select("doc_id", "label", "prediction")
 
 
 @register("tree_attributions")
 def tree_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Path contributions of a random forest; global importance."""
+    """Path contributions of a random forest over all documents; global importance."""
     from pyspark.ml.classification import RandomForestClassifier
 
     from roadframe.operators.explain import contributions, global_importance
-    df, feats = document_features(spark, sf_dir)
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=20, maxDepth=5, seed=42).fit(df)
-    c = contributions(df, rf, "features", keep=["doc_id", "label"], num_features=len(feats))
+    labelled, rows, feats = document_features(spark, sf_dir)
+    rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=100, maxDepth=5, seed=42).fit(labelled)
+    c = contributions(rows, rf, "features", keep=["doc_id", "label"], num_features=len(feats))
     return global_importance(c, feats)
 
 
 @register("top_attributions")
 def top_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-row top-3 contributions, base + sum = score, a picked positive row."""
+    """Per-document top-3 contributions, base + sum = score."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.functions import vector_to_array
 
     from roadframe.operators.explain import contributions, top_k_contributions
-    df, feats = document_features(spark, sf_dir)
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=10, maxDepth=4, seed=7).fit(df)
-    scored = rf.transform(df).withColumn("p1", vector_to_array("probability")[1])
+    labelled, rows, feats = document_features(spark, sf_dir)
+    rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=100, maxDepth=4, seed=7).fit(labelled)
+    scored = rf.transform(rows).withColumn("p1", vector_to_array("probability")[1])
     c = contributions(scored, rf, "features", keep=["doc_id", "label", "p1", "prediction"], num_features=len(feats))
     return top_k_contributions(c, feats, 3).select("doc_id", "label", "prediction", "p1", "base", "score",
                                                    F.col("top.feature").alias("top_features"))
@@ -432,8 +447,10 @@ def batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadframe.operators.models import score_batch
     from roadframe.operators.schema import columns_by_group
     from roadframe.plans.queries_etl import user_feature_table
-    feat = user_feature_table(spark, sf_dir)
-    ctx = [c for c in columns_by_group(R.FEATURE_DICTIONARY, "contexte") if c in feat.columns]
+    path = scratch_path(spark, "user-table")   # read by every pass of the fits below
+    user_feature_table(spark, sf_dir).write.parquet(path)
+    feat = spark.read.parquet(path)
+    ctx = [c for g in ("contexte", "usager", "vehicule") for c in columns_by_group(R.FEATURE_DICTIONARY, g) if c in feat.columns]
     cat = [c for c in ctx if R.FEATURE_DICTIONARY[c]["type"] == "categorial"]
     num = [c for c in ctx if c not in cat]
     stages = [StringIndexer(inputCols=cat, outputCols=[f"{c}_ix" for c in cat], handleInvalid="keep"),
@@ -443,6 +460,6 @@ def batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadframe.operators.models import complete_rows
     train = complete_rows(feat.select(*ctx, F.col("grav").cast("double")), ctx, R.FEATURE_DICTIONARY)
     model = Pipeline(stages=stages).fit(train)
-    rows = feat.select(*ctx).drop("vma")      # a missing column is completed with its default
+    rows = feat.select(*ctx)
     return score_batch(model, rows, ctx, R.FEATURE_DICTIONARY, t=0.5).select(
         "decision", "prediction", "confidence", F.size("violations").alias("n_violations"))

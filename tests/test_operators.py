@@ -34,9 +34,9 @@ def test_left_join_null_safe_and_suffixes(spark):
     # G14 (compat) and clash suffixes; G6 unmatched left row
     u = spark.createDataFrame([(1, None, "a"), (2, 5, "b")], "Num_Acc long, id_vehicule long, num_veh string")
     v = spark.createDataFrame([(1, None, "x")], "Num_Acc long, id_vehicule long, num_veh string")
-    out = left_join(u, v, ["id_vehicule", "Num_Acc"]).orderBy("Num_Acc").collect()
+    out = left_join(u, v, ["id_vehicule", "Num_Acc"], null_safe=True).orderBy("Num_Acc").collect()
     assert out[0]["num_veh_y"] == "x" and out[1]["num_veh_y"] is None
-    strict = left_join(u, v, ["id_vehicule", "Num_Acc"], null_safe=False).orderBy("Num_Acc").collect()
+    strict = left_join(u, v, ["id_vehicule", "Num_Acc"]).orderBy("Num_Acc").collect()
     assert strict[0]["num_veh_y"] is None
 
 
