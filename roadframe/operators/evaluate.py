@@ -46,18 +46,29 @@ def binary_metrics(df: DataFrame, label: str, pred: str, positive=1) -> DataFram
         "f1", F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
 
 
-def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """(class, precision, recall, f1, support) per class plus 'accuracy',
-    'macro avg' and 'weighted avg' rows — from one grouped count of (label, prediction)."""
-    cm = df.groupBy(F.col(label).cast("string").alias("y"), F.col(pred).cast("string").alias("p")).agg(F.count(F.lit(1)).alias("n"))
+def _per_class(df: DataFrame, label: str, pred: str, keys: list[str]) -> DataFrame:
+    """(keys..., class, support, predicted, tp, precision, recall, f1) from one grouped count."""
+    cm = df.groupBy(*keys, F.col(label).cast("string").alias("y"), F.col(pred).cast("string").alias("p")).agg(F.count(F.lit(1)).alias("n"))
     zero, n = F.lit(0).cast("long"), F.col("n")
-    roles = cm.select(F.inline(F.array(  # a pair counts for its label and for its prediction
+    roles = cm.select(*keys, F.inline(F.array(  # a pair counts for its label and for its prediction
         F.struct(F.col("y").alias("class"), n.alias("support"), zero.alias("predicted"), F.when(F.col("y") == F.col("p"), n).otherwise(zero).alias("tp")),
         F.struct(F.col("p").alias("class"), zero.alias("support"), n.alias("predicted"), zero.alias("tp")))))
-    per = roles.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "tp")])
+    per = roles.groupBy(*keys, "class").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "tp")])
     ratio = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")), F.lit(0.0))
     per = per.withColumns({"precision": ratio("tp", "predicted"), "recall": ratio("tp", "support")})
-    per = per.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)))
+    return per.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)))
+
+
+def mean_report(df: DataFrame, label: str, pred: str, fold_col: str) -> DataFrame:
+    """Per-class precision, recall, f1 and support, each averaged over the folds that have the class."""
+    per = _per_class(df, label, pred, [fold_col])
+    return per.groupBy("class").agg(*[F.avg(c).alias(c) for c in ("precision", "recall", "f1", "support")])
+
+
+def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
+    """(class, precision, recall, f1, support) per class plus 'accuracy',
+    'macro avg' and 'weighted avg' rows — from one grouped count of (label, prediction)."""
+    per = _per_class(df, label, pred, [])
     scores = ("precision", "recall", "f1")
     tot = per.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"), *[F.avg(c).alias(f"m_{c}") for c in scores],
                   *[(F.sum(F.col(c) * F.col("support")) / F.sum("support")).alias(f"w_{c}") for c in scores])

@@ -85,6 +85,11 @@ def select_in_order(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
+def exclude_codes(df: DataFrame, col: str, codes: list) -> DataFrame:
+    """Drop the rows whose ``col`` is one of ``codes``; NULLs stay."""
+    return df.filter(F.col(f"`{col}`").isNull() | ~F.col(f"`{col}`").isin(codes))
+
+
 def columns_by_group(dictionary: dict[str, dict], group: str) -> list[str]:
     """Feature names whose dictionary ``group`` matches (contexte/vehicule/usager)."""
     return [k for k, v in dictionary.items() if v.get("group") == group]

@@ -30,6 +30,8 @@ def _load_all() -> None:
     from roadframe.plans import queries_profile  # noqa: F401
     from roadframe.plans import queries_ml  # noqa: F401
     from roadframe.plans import queries_io  # noqa: F401
+    from roadframe.plans import full_etl  # noqa: F401
+    from roadframe.plans import queries_more  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
