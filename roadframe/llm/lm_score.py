@@ -99,10 +99,11 @@ class Words:
 def with_target(docs: DataFrame, target: DataFrame, key: str, text: str) -> DataFrame:
     """(id, text, target): whether each document's key is in ``target`` (one column)."""
     ids = target.select(F.col(target.columns[0]).cast("long").alias("__llm_id")).where("__llm_id IS NOT NULL").distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(ids, F.col("id") == F.col("__llm_id"), "left")
-    return rows.select("id", "text", F.col("__llm_id").isNotNull().alias("target"))
+    few = ids.count() <= BROADCAST_IDS
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(ids) if few else ids, F.col("id") == F.col("__llm_id"), "left")
+    rows = rows.select("id", "text", F.col("__llm_id").isNotNull().alias("target"))
+    # chunks are cut in row order, which a repeated task must find again: a scan keeps it, a shuffle needs a sort
+    return rows if few else rows.sortWithinPartitions("id", "text")
 
 
 def count_words(rows: DataFrame) -> DataFrame:

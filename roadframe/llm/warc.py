@@ -85,8 +85,8 @@ def write(df: DataFrame, folder: str, key: str = "page_id", target: str = "url",
     revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("key"))
     rows = rows.join(known, (F.col("digest") == F.col("known")) & large, "left")
     rows = rows.select("key", "target", F.when(~revisit, F.col("payload")).alias("payload"), "size", "digest", F.when(revisit, F.col("first")).alias("first"))
-    order = [F.col("key").asc_nulls_first(), "digest"]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    order = [F.col("key").asc_nulls_first(), "digest", F.col("target").asc_nulls_first()]
+    rows = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, done, hashed, first, last, n, rolled = None, [], None, None, None, 0, 0
