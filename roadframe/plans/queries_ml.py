@@ -328,7 +328,21 @@ def summed_fold_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summed_confusion(_scored(spark, sf_dir), "y", "prediction", "fold")
 
 
-@register("mean_fold_roc")
+@register("mean_fold_roc", f"""
+WITH s AS ({_SCORED}),
+sc AS (SELECT fold, score, sum(y) AS pos, sum(1 - y) AS neg FROM s GROUP BY fold, score),
+tot AS (SELECT fold, sum(pos) AS P, sum(neg) AS N FROM sc GROUP BY fold),
+cum AS (SELECT fold, score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM sc
+        WINDOW w AS (PARTITION BY fold ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+roc AS (SELECT fold, 0.0 AS fpr, 0.0 AS tpr FROM tot UNION ALL SELECT cum.fold, fp / N, tp / P FROM cum JOIN tot ON tot.fold = cum.fold),
+pts AS (SELECT fold, fpr, max(tpr) AS hi, min(tpr) AS lo FROM roc GROUP BY fold, fpr),
+grid AS (SELECT tot.fold, t.j, t.j / 99.0 AS g FROM tot CROSS JOIN range(100) AS t(j)),
+l AS (SELECT grid.fold, grid.j, max(fpr) AS x, arg_max(hi, fpr) AS y FROM grid JOIN pts ON pts.fold = grid.fold AND fpr * 99 - 1e-12 <= grid.j GROUP BY 1, 2),
+r AS (SELECT grid.fold, grid.j, min(fpr) AS x, arg_min(lo, fpr) AS y FROM grid JOIN pts ON pts.fold = grid.fold AND fpr * 99 - 1e-12 > grid.j GROUP BY 1, 2),
+per AS (SELECT grid.g, CASE WHEN grid.j = 0 THEN 0.0 WHEN r.x IS NULL THEN l.y ELSE l.y + (r.y - l.y) * (grid.g - l.x) / (r.x - l.x) END AS tpr
+        FROM grid JOIN l ON l.fold = grid.fold AND l.j = grid.j LEFT JOIN r ON r.fold = grid.fold AND r.j = grid.j)
+SELECT g AS fpr, CASE WHEN g = 1.0 THEN 1.0 ELSE avg(tpr) END AS mean_tpr, stddev_pop(tpr) AS std_tpr FROM per GROUP BY g
+""")
 def mean_fold_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-fold ROC interpolated on 100 FPR points, averaged over folds."""
     from roadframe.operators.evaluate import mean_roc
