@@ -33,10 +33,8 @@ from roadframe.llm.registry import register
 from roadframe.session import read_table
 
 INFINITY = 1 << 62
-#: Words that a task remembers; a full table is emptied.
-REMEMBERED_WORDS = 600_000
-#: Texts within these characters are normalised here; others by the tokenizer file's own normaliser.
-_BEYOND_LATIN = regex.compile("[^\x00-ſ]")
+#: Words that a worker process remembers, twice.
+REMEMBERED_WORDS = 200_000
 #: Characters that str.split() takes for white space and the tokenizer does not.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _WHITE = regex.compile(r"\s+")
@@ -141,7 +139,7 @@ class Codec:
         for x, i in [*vocab.items(), *self.special.items()]:
             self.tokens[i] = x
         self.plain_decoder = spec.get("decoder") is None
-        self.known: dict[str, bytes] = {}
+        self.known = common.Remembered(REMEMBERED_WORDS, common.own_words(self.split))
 
     def word_ids(self, word: bytes) -> list[int]:
         """Ids of one word, given as its bytes."""
@@ -154,7 +152,7 @@ class Codec:
     def run_ids(self, run: str) -> bytes:
         """Packed ids of a run of characters without white space or special tokens."""
         ids: list[int] = []
-        if _BEYOND_LATIN.search(run):
+        if common.BEYOND_LATIN.search(run):
             for letters, _ in self.split(self.normalise(run)):
                 ids += self.word_ids(bytes(self.byte_of[x] for x in letters))
         else:
@@ -164,16 +162,10 @@ class Codec:
 
     def plain_ids(self, text: str) -> bytes:
         """Packed ids of a text without special tokens."""
+        if not common.BEYOND_LATIN.search(text):  # fewer different runs; the normaliser lowers them all the same
+            text = text.lower()
         runs = text.split() if not any(x in text for x in _SEPARATORS) else _WHITE.split(text)
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, runs))
-        except KeyError:
-            if len(known) > REMEMBERED_WORDS:
-                known.clear()
-            for run in set(runs).difference(known):
-                known[run] = self.run_ids(run)
-            return b"".join(map(known.__getitem__, runs))
+        return self.known.joined(runs, lambda new: [self.run_ids(r) for r in new])
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as packed little-endian 32-bit integers."""

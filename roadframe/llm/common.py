@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -60,3 +61,54 @@ def add_columns(df: DataFrame, fields: list[T.StructField], make: Callable[[], C
 
 def column(b: pa.RecordBatch, name: str) -> pa.Array:
     return b.column(b.schema.get_field_index(name))
+
+
+#: Characters beyond those whose lower case and normal form every Unicode version gives alike.
+BEYOND_LATIN = re.compile("[^\x00-\u017f]")
+
+
+class Remembered:
+    """Packed ids of words, at most twice ``size`` of them: when ``size`` new ones are held, the older half goes unless met again.
+
+    ``stops``: characters that always are a word of their own after letters, so a word that ends in one is put
+    together from its parts.
+    """
+
+    def __init__(self, size: int, stops: str = ""):
+        self.size, self.stops, self.new, self.old = size, stops, {}, {}
+
+    def joined(self, words: list[str], encode: Callable[[list[str]], list[bytes]]) -> bytes:
+        """The words' ids in turn; ``encode`` gives those of words not remembered."""
+        try:
+            return b"".join(map(self.new.__getitem__, words))
+        except KeyError:
+            if len(self.new) > self.size:
+                self.old, self.new = self.new, {}
+            self._learn(set(words).difference(self.new), encode)
+            return b"".join(map(self.new.__getitem__, words))
+
+    def _learn(self, words: set[str], encode: Callable[[list[str]], list[bytes]]) -> None:
+        unseen, parted = set(), []
+
+        def need(w: str) -> None:
+            if w not in self.new:
+                if (ids := self.old.get(w)) is None:
+                    unseen.add(w)
+                else:
+                    self.new[w] = ids
+
+        for w in words:
+            if w not in self.old and w[-1] in self.stops and w[:-1].isalpha() and not BEYOND_LATIN.search(w):
+                parted.append(w)
+                need(w[:-1])
+                need(w[-1])
+            else:
+                need(w)
+        order = list(unseen)
+        self.new.update(zip(order, encode(order) if order else [], strict=True))
+        self.new.update((w, self.new[w[:-1]] + self.new[w[-1]]) for w in parted)
+
+
+def own_words(split: Callable[[str], list], stops: str = ",.") -> str:
+    """Those of ``stops`` that a tokenizer's word splitter cuts off after letters."""
+    return "".join(x for x in stops if len(split("ab" + x)) == 2)

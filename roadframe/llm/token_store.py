@@ -8,8 +8,8 @@ Layout of a shard (little endian):
     u64 index offset, u64 documents, u64 ids, "ZKOT"
 
 ``dictionary.zdict`` lies beside the shards and is trained on the serialized id
-arrays of a bounded set of documents (``sample_rows`` rows of smallest hash, at
-most ``sample_bytes`` of ids). Compression alone uses it; ids, counts and the
+arrays of a bounded set of documents (``sample_rows`` rows of smallest hash among
+those of up to ``sample_chars`` characters, at most ``sample_bytes`` of ids). Compression alone uses it; ids, counts and the
 index cover all documents. A reader checks the dictionary's hash, reads the
 index at the end and can fetch one short document by its offset.
 
@@ -50,7 +50,7 @@ from roadframe.session import read_table, scratch_path
 HEAD, TAIL, ENTRY = "<4sHH32s", "<QQQ4s", np.dtype([("key", "<i8"), ("null", "u1"), ("offset", "<u8"), ("size", "<u4"), ("ids", "<u8")])
 VERSION = 1
 LEVEL = 3
-#: Words that a task remembers; a full table is emptied.
+#: Words that a worker process remembers, twice.
 REMEMBERED_WORDS = 600_000
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -69,9 +69,11 @@ class LibraryEncoder:
         if step.get("behavior") != "Removed" or not step.get("invert"):
             raise ValueError(f"{path}: the words must be the matches of a pattern without white space")
         self.tokenizer = Tokenizer.from_file(path)
+        self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("A") == "a"
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.known = common.Remembered(REMEMBERED_WORDS, common.own_words(self.tokenizer.pre_tokenizer.pre_tokenize_str))
+        self.special = [t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def __call__(self, text: str | None) -> bytes:
         """Packed little-endian unsigned 32-bit ids."""
@@ -79,16 +81,18 @@ class LibraryEncoder:
             return b""
         if any(x in text for x in _SEPARATORS):  # white space for split() only
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        runs, known = text.split(), self.known
-        try:
-            return b"".join(map(known.__getitem__, runs))
-        except KeyError:
-            if len(known) > REMEMBERED_WORDS:
-                known.clear()
-            new = list(set(runs).difference(known))
-            for run, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[run] = np.array(e.ids, "<u4").tobytes()
-            return b"".join(map(known.__getitem__, runs))
+        if self.lowers and not any(x in text for x in self.special) and not common.BEYOND_LATIN.search(text):
+            text = text.lower()  # fewer different runs; the tokenizer lowers them all the same
+        return self.known.joined(text.split(), self.run_ids)
+
+    def run_ids(self, runs: list[str]) -> list[bytes]:
+        """Packed ids of each run: one call over all, each id given to the run in which its characters begin."""
+        found = self.tokenizer.encode(" ".join(runs), add_special_tokens=False)
+        first = np.cumsum([0, *(len(r) + 1 for r in runs[:-1])])
+        owner = np.searchsorted(first, np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids)), side="right") - 1
+        edges = np.searchsorted(owner, np.arange(len(runs) + 1))
+        ids = np.array(found.ids, "<u4")
+        return [ids[a:z].tobytes() for a, z in zip(edges[:-1].tolist(), edges[1:].tolist())]
 
 
 @functools.lru_cache(maxsize=4)
@@ -99,9 +103,9 @@ def library_encoder(path: str) -> LibraryEncoder:
     return LibraryEncoder(path)
 
 
-def train_dictionary(df: DataFrame, encoder: Callable[[], Callable], text: str, end_id: int, id_bytes: int, size: int, sample_rows: int, sample_bytes: int) -> bytes:
+def train_dictionary(df: DataFrame, encoder: Callable[[], Callable], text: str, end_id: int, id_bytes: int, size: int, sample_rows: int, sample_chars: int, sample_bytes: int) -> bytes:
     """A zstandard dictionary of at most ``size`` bytes; empty if there is too little to learn from."""
-    rows = df.select(text).where(F.length(text) > 0).orderBy(F.xxhash64(text), text).limit(sample_rows)
+    rows = df.select(text).where(F.length(text).between(1, sample_chars)).orderBy(F.xxhash64(text), text).limit(sample_rows)
     encode, samples, total = encoder(), [], 0
     for row in rows.toLocalIterator():
         ids = np.append(np.frombuffer(encode(row[0]), "<u4"), np.uint32(end_id))[: sample_bytes // id_bytes]
@@ -123,12 +127,12 @@ MANIFEST = "shard string, first_key long, last_key long, documents long, ids lon
 
 
 def write(df: DataFrame, folder: str, encoder: Callable[[], Callable], key: str = "doc_id", text: str = "text", end_id: int = 2, id_bytes: int = 2,
-          dictionary_size: int = 64 << 10, sample_rows: int = 2000, sample_bytes: int = 4 << 20) -> dict:
+          dictionary_size: int = 64 << 10, sample_rows: int = 2000, sample_chars: int = 1 << 16, sample_bytes: int = 4 << 20) -> dict:
     """Encode and store every row of ``df``; returns the manifest. ``encoder()`` gives a task its text -> packed ids function."""
     spark = df.sparkSession
     common.bounded_batches(spark)
     files.make_folder(folder)
-    words = train_dictionary(df, encoder, text, end_id, id_bytes, dictionary_size, sample_rows, sample_bytes)
+    words = train_dictionary(df, encoder, text, end_id, id_bytes, dictionary_size, sample_rows, sample_chars, sample_bytes)
     files.write_bytes(folder, "dictionary.zdict", words)
     digest = hashlib.sha256(words).digest()
     dealt = (df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
