@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from roadframe.llm import common
 from roadframe.llm.registry import register
+from roadframe.operators.stats import kth_smallest
 from roadframe.session import read_table
 
 #: Words of the shared vocabulary; the ids 0 and WORDS + 1 are the unknown word and the start mark (16 bits in all).
@@ -138,9 +139,16 @@ def count_words(rows: DataFrame) -> DataFrame:
 def vocabulary(counted: DataFrame, size: int = WORDS) -> tuple[Words, int]:
     """The ``size`` most frequent words with their counts, and the number of tokens."""
     total = [x or 0 for x in counted.agg(*[F.sum(c) for c in ("nt", "nb", "et", "eb")]).first()]
-    top = counted.orderBy(F.desc("nb"), "word").limit(size).collect()
+    n = counted.count()
+    if n <= size:
+        top = counted.collect()
+    else:  # the exact cutoff first: a sorted limit would send that many words from every task
+        cut = kth_smallest(counted, "nb", [n - size])[None, n - size]
+        top = counted.where(F.col("nb") > cut).collect()
+        top += counted.where(F.col("nb") == cut).orderBy("word").limit(size - len(top)).collect()
+    top.sort(key=lambda r: (-r.nb, r.word))
     known = np.array([tuple(r)[1:] for r in top], float).reshape(-1, 4)
-    n, e = np.zeros((2, START + 1)), np.zeros((2, START + 1))
+    n, e = np.zeros((2, START + 1)), np.zeros((2, START + 1))  # of each id
     for k in (0, 1):
         n[k, 1 : len(top) + 1], e[k, 1 : len(top) + 1] = known[:, k], known[:, k + 2]
         n[k, 0], e[k, 0] = total[k] - known[:, k].sum(), total[k + 2] - known[:, k + 2].sum()
