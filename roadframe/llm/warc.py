@@ -10,8 +10,8 @@ and the reader opens only files that it names.
 
 Of records with equal payloads of at least ``min_revisit`` bytes the one of
 smallest key is a response and the others are revisits without payload. Only
-payload digests that occur twice or more are joined back; the others never
-leave their row.
+payload digests that occur twice or more are joined back, from a written table
+whose size tells Spark whether to broadcast it.
 
 Defined cases: a null payload is empty; a null target becomes ``urn:record:``
 and the key; null keys are sorted first, revisit an equal payload that has a
@@ -82,6 +82,7 @@ def write(df: DataFrame, folder: str, key: str = "page_id", target: str = "url",
     rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "digest": F.sha2("payload", 256)})
     large = F.col("size") >= min_revisit
     known = rows.where(large).groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("digest").alias("known"), "first")
+    known = common.stage(known, "repeated-payloads")  # of known size: broadcast if small, so that payloads are shuffled once
     revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("key"))
     rows = rows.join(known, (F.col("digest") == F.col("known")) & large, "left")
     rows = rows.select("key", "target", F.when(~revisit, F.col("payload")).alias("payload"), "size", "digest", F.when(revisit, F.col("first")).alias("first"))
