@@ -1,8 +1,8 @@
 """Language-model scoring by cross-entropy difference.
 
 Two bigram models, of the target documents and of all documents (background),
-are matched: same words, same vocabulary (the most frequent words of the whole
-corpus, all others one unknown word), same order, same smoothing
+are matched: same words, same vocabulary (every word of the whole corpus, or the
+``size`` most frequent ones, all others one unknown word), same order, same smoothing
 
     p(w | v) = (c(v, w) + mass * p(w)) / (c(v) + mass),  p(w) = (c(w) + 1) / (tokens + words)
 
@@ -11,7 +11,11 @@ start mark); its score is target loss less background loss: the lower, the more
 it is like the target.
 
 Counts cover every document, and the model is never whole in one place; only the
-vocabulary's word counts (a fixed number of words) are broadcast. One pass
+counts of the most frequent words (a fixed number, ``WORDS``) are broadcast. Any
+other word is known by a 64-bit hash, and all that its counts are needed for
+goes to its own bucket: the pairs it ends (which add up to its count), the pairs
+with a frequent word it begins, and how often it is a context. So -log p is sent
+in two terms, log(c(v) + mass) apart where v or w is such a word. One pass
 counts words. A second pass turns documents into (pair, document, count)
 entries, packed in blocks for hash buckets of pairs: the pair counts of all
 blocks first, then the entries. A bucket's task adds up the counts, scores the
@@ -27,6 +31,7 @@ an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from collections import Counter
 from collections.abc import Iterator
@@ -36,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadframe.llm import common
@@ -44,9 +49,13 @@ from roadframe.llm.registry import register
 from roadframe.operators.stats import kth_smallest
 from roadframe.session import read_table
 
-#: Words of the shared vocabulary; the ids 0 and WORDS + 1 are the unknown word and the start mark (16 bits in all).
+#: Words whose counts are broadcast; the ids 0 and WORDS + 1 are the unknown word and the start mark (16 bits in all).
 WORDS = 65_534
 START = WORDS + 1
+#: Ids of rarer words are hashes from here on. With such a word, a frequent v is told by its id, a frequent w by
+#: FOLLOWS + its id, the word's use as a context by CONTEXT.
+RARE, FOLLOWS = 1 << 63, START + 1
+CONTEXT = FOLLOWS + START
 MASS = 50.0
 #: Tokens and documents of a chunk, entries of a block, Arrow rows of a batch, tokens for which there is a bucket.
 CHUNK_TOKENS, CHUNK_DOCS, BLOCK_ENTRIES, BATCH_ROWS, BUCKET_TOKENS = 4_000_000, 65_000, 16_384, 250, 8_000_000
@@ -81,20 +90,41 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def rare_id(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") | RARE
+
+
 class Vocabulary(dict):
-    """word -> id; other words are 0."""
+    """word -> id; other words are 0. ``rare``: sorted ids of the rarer words in the vocabulary, None for all."""
+
+    def __init__(self, ids: dict[str, int], rare: np.ndarray | None):
+        super().__init__(ids)
+        self.ids, self.rare = ids, rare
 
     def __missing__(self, word: str) -> int:
-        return 0
+        if self.rare is not None:
+            if not len(self.rare):
+                return 0
+            at = int(np.searchsorted(self.rare, np.uint64(i := rare_id(word))))
+            i = i if at < len(self.rare) and int(self.rare[at]) == i else 0
+        else:
+            i = rare_id(word)
+        if len(self) >= len(self.ids) + COUNTED_WORDS:
+            self.clear()
+            self.update(self.ids)
+        self[word] = i
+        return i
 
 
 @dataclass
 class Words:
-    """The vocabulary, and for both corpora (0 target, 1 background) log-free p(w) and how often each word is a context."""
+    """The vocabulary, and for both corpora (0 target, 1 background) log-free p(w) and how often each frequent word is a context, and what p(w) is divided by."""
 
     ids: dict[str, int]
+    rare: np.ndarray | None
     single: np.ndarray
     context: np.ndarray
+    whole: np.ndarray
 
 
 def with_target(docs: DataFrame, target: DataFrame, key: str, text: str) -> DataFrame:
@@ -136,32 +166,63 @@ def count_words(rows: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in names[1:]])
 
 
-def vocabulary(counted: DataFrame, size: int = WORDS) -> tuple[Words, int]:
-    """The ``size`` most frequent words with their counts, and the number of tokens."""
+def most(counted: DataFrame, n: int, size: int) -> Column:
+    """Whether a word is among the ``size`` < ``n`` most frequent ones (of equal ones, the first)."""
+    cut = kth_smallest(counted, "nb", [n - size])[None, n - size]  # exact: a sorted limit would send that many words from every task
+    left = size - counted.where(F.col("nb") > cut).count()
+    last = counted.where(F.col("nb") == cut).orderBy("word").limit(left).agg(F.max("word")).first()[0]
+    return (F.col("nb") > cut) | (F.col("nb") == cut) & (F.col("word") <= last)
+
+
+def vocabulary(counted: DataFrame, size: int | None = None) -> tuple[Words, int, int]:
+    """The ``size`` most frequent words (None: all), and the numbers of tokens and of tokens that are in it but not frequent."""
     total = [x or 0 for x in counted.agg(*[F.sum(c) for c in ("nt", "nb", "et", "eb")]).first()]
     n = counted.count()
-    if n <= size:
-        top = counted.collect()
-    else:  # the exact cutoff first: a sorted limit would send that many words from every task
-        cut = kth_smallest(counted, "nb", [n - size])[None, n - size]
-        top = counted.where(F.col("nb") > cut).collect()
-        top += counted.where(F.col("nb") == cut).orderBy("word").limit(size - len(top)).collect()
+    size = n if size is None else min(n, size)
+    frequent = min(size, WORDS)
+    known_words = most(counted, n, frequent) if 0 < frequent < n else F.lit(frequent > 0)
+    top = counted.where(known_words).collect()
     top.sort(key=lambda r: (-r.nb, r.word))
     known = np.array([tuple(r)[1:] for r in top], float).reshape(-1, 4)
+    if size == n:
+        rare, others = None if n > frequent else np.zeros(0, np.uint64), [total[k] - int(known[:, k].sum()) for k in (0, 1)]
+    elif size > frequent:  # as many ids as the caller asks for
+        found = counted.where(most(counted, n, size) & ~known_words)
+        others = list(found.agg(F.sum("nt"), F.sum("nb")).first())
+        rare = np.sort(np.fromiter((rare_id(r.word) for r in found.select("word").toLocalIterator()), np.uint64))
+    else:
+        rare, others = np.zeros(0, np.uint64), [0, 0]
     n, e = np.zeros((2, START + 1)), np.zeros((2, START + 1))  # of each id
     for k in (0, 1):
         n[k, 1 : len(top) + 1], e[k, 1 : len(top) + 1] = known[:, k], known[:, k + 2]
-        n[k, 0], e[k, 0] = total[k] - known[:, k].sum(), total[k + 2] - known[:, k + 2].sum()
-    single = (n + 1) / (n.sum(axis=1, keepdims=True) + len(top) + 1)
+        n[k, 0] = total[k] - known[:, k].sum() - others[k]
+    whole = np.array(total[:2], float) + size + 1
+    single = (n + 1) / whole[:, None]
     context = n - e
+    # with rarer words in the vocabulary, how often the unknown word ends a document has to leave theirs out
+    ends = np.array(total[2:], float) - known[:, 2:].sum(axis=0)
+    if size > frequent:
+        ends = ends * 0 if rare is None else ends - np.array(found.agg(F.sum("et"), F.sum("eb")).first(), float)
+    context[:, 0] -= ends
     context[:, START] = total[2], total[3]  # every document with words begins once
-    return Words({r[0]: i + 1 for i, r in enumerate(top)}, single, context), int(total[1])
+    return Words({r[0]: i + 1 for i, r in enumerate(top)}, rare, single, context, whole), int(total[1]), int(others[1])
 
 
 def _bucket(pairs: np.ndarray, buckets: int) -> np.ndarray:
     return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(buckets)
 
 
+def _key(rare: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """One 64-bit number for a rarer word and what stands with it."""
+    return rare * np.uint64(0x9E3779B97F4A7C15) + other * np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _grouped(what: np.ndarray, doc: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each (what, document) once, sorted, with its count."""
+    both, count = np.unique(what << np.uint64(bits) | doc, return_counts=True)
+    return both >> np.uint64(bits), (both & np.uint64((1 << bits) - 1)).astype(np.int64), count
+
+
 BLOCKS = "bucket int, kind int, chunk long, data binary"
 
 
@@ -169,11 +230,12 @@ def _blocks(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["bucket", "kind", "chunk", "data"])
 
 
-def entries(rows: DataFrame, vocab, buckets: int) -> DataFrame:
-    """Packed counts and entries of each chunk of documents, for each bucket, and the chunk's documents."""
+def entries(rows: DataFrame, vocab, buckets: int, rare_buckets: int, mass: float) -> DataFrame:
+    """Packed counts and entries of each chunk of documents, for each bucket (those of rarer words come last), and the chunk's documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Vocabulary(vocab.value.ids)
+        known = Vocabulary(vocab.value.ids, vocab.value.rare)
+        contexts = np.log(vocab.value.context + mass)
         first, chunk = TaskContext.get().partitionId() << 32, 0
         ids: list[int | None] = []
         target: list[bool] = []
@@ -183,31 +245,68 @@ def entries(rows: DataFrame, vocab, buckets: int) -> DataFrame:
         def out() -> Iterator[pa.RecordBatch]:
             at = first + chunk
             lengths = np.array([len(p) for p in parts], np.int64)
-            yield _blocks([(at % buckets, DOCS, at, pack(np.array([i is None for i in ids]).astype(np.uint8), np.array([i or 0 for i in ids], np.int64).view(np.uint64), lengths))])
-            if not lengths.sum():
-                return
-            word = np.concatenate(parts).astype(np.uint64)
+            word = np.concatenate(parts)
+            doc = np.repeat(np.arange(len(ids), dtype=np.uint64), lengths)
             before = np.empty_like(word)
             before[1:] = word[:-1]
             before[(np.cumsum(lengths) - lengths)[lengths > 0]] = START
-            pair = before << np.uint64(16) | word
-            both, count = np.unique(pair << np.uint64(32) | np.repeat(np.arange(len(ids), dtype=np.uint64), lengths), return_counts=True)
-            pair, doc = both >> np.uint64(32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            bucket = _bucket(pair, buckets).astype(np.int32)
+            rare_word, rare_before = word >= RARE, before >= RARE
+            # a frequent word's part as the context of rarer ones is known here
+            near = rare_word & ~rare_before
+            base = [np.bincount(doc[near].astype(np.int64), c[before[near].astype(np.int64)], len(ids)) for c in contexts] if near.any() else []
+            yield _blocks([(at % buckets, DOCS, at, pack(np.array([i is None for i in ids]).astype(np.uint8), np.array([i or 0 for i in ids], np.int64).view(np.uint64), lengths, *base))])
+            if not len(word):
+                return
+            is_target = np.array(target, bool)
+            both = ~(rare_word | rare_before)
+            pair = before[both] << np.uint64(16) | word[both]
+            yield from sent(at, _grouped(pair, doc[both], 32), buckets, is_target)
+            if both.all():
+                return
+            names = np.unique(word[rare_word])  # a context is a word, too
+            code = lambda x: np.searchsorted(names, x).astype(np.uint64)
+            beyond = np.uint64(CONTEXT + 1)
+            only = rare_before & ~rare_word
+            name = np.concatenate([code(word[rare_word]), code(before[only]), code(before[rare_before])])
+            other = before[rare_word]
+            far = other >= RARE
+            other[far] = beyond + code(other[far])
+            other = np.concatenate([other, word[only] + np.uint64(FOLLOWS), np.full(rare_before.sum(), CONTEXT, np.uint64)])
+            where = np.concatenate([doc[rare_word], doc[only], doc[rare_before]])
+            width = (CONTEXT + 1 + len(names)).bit_length()  # with the documents' at most 62 bits, as a chunk of many documents is bounded
+            found, d, count = _grouped(name << np.uint64(width) | other, where, (len(ids) - 1).bit_length())
+            name, other = names[(found >> np.uint64(width)).astype(np.int64)], found & np.uint64((1 << width) - 1)
+            for some in (other < beyond, other >= beyond):  # short and long ids
+                o = other[some]
+                if len(o) and o[0] >= beyond:
+                    o = names[(o - beyond).astype(np.int64)]
+                yield from sent(at, (name[some], d[some], count[some]), rare_buckets, is_target, o)
+
+        def sent(at: int, grouped: tuple, n: int, is_target: np.ndarray, other: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+            pair, doc, count = grouped
+            if not len(pair):
+                return
+            bucket = _bucket(pair, n).astype(np.int32)
             order = np.argsort(bucket, kind="stable")  # pairs stay sorted within a bucket
             bucket, pair, doc, count = bucket[order], pair[order], doc[order], count[order]
-            is_target = np.array(target, bool)
-            edges = np.searchsorted(bucket, np.arange(buckets + 1))
+            other = None if other is None else other[order]
+            edges = np.searchsorted(bucket, np.arange(n + 1))
             held = []
-            for k in range(buckets):
+            for k in range(n):
                 for lo in range(edges[k], edges[k + 1], BLOCK_ENTRIES):
                     hi = min(lo + BLOCK_ENTRIES, edges[k + 1])
                     p, d, c = pair[lo:hi], doc[lo:hi], count[lo:hi]
-                    start = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
+                    new, others = p[1:] != p[:-1], []
+                    if other is not None:
+                        new |= other[lo + 1 : hi] != other[lo : hi - 1]
+                    start = np.flatnonzero(np.append(True, new))
                     unique = p[start]
                     steps = np.diff(unique, prepend=np.uint64(0))
-                    held.append((k, COUNTS, at, pack(steps, np.add.reduceat(np.where(is_target[d], c, 0), start), np.add.reduceat(c, start))))
-                    held.append((k, ENTRIES, at, pack(steps, np.diff(np.append(start, len(p))), d, c)))
+                    if other is not None:
+                        others = [other[lo:hi][start]]
+                    to = k if other is None else buckets + k
+                    held.append((to, COUNTS, at, pack(steps, *others, np.add.reduceat(np.where(is_target[d], c, 0), start), np.add.reduceat(c, start))))
+                    held.append((to, ENTRIES, at, pack(steps, *others, np.diff(np.append(start, len(p))), d, c)))
                     if len(held) >= BATCH_ROWS:
                         yield _blocks(held)
                         held = []
@@ -217,26 +316,26 @@ def entries(rows: DataFrame, vocab, buckets: int) -> DataFrame:
         for b in batches:
             for i, t, is_target in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 w = words(t)
-                ids.append(i)
-                target.append(is_target)
-                parts.append(np.fromiter(map(known.__getitem__, w), np.uint16, len(w)))
-                tokens += len(w)
-                if tokens >= CHUNK_TOKENS or len(ids) >= CHUNK_DOCS:
+                if ids and (tokens + len(w) > CHUNK_TOKENS or len(ids) >= CHUNK_DOCS):
                     yield from out()
                     chunk, tokens = chunk + 1, 0
                     for x in (ids, target, parts):
                         x.clear()
+                ids.append(i)
+                target.append(is_target)
+                parts.append(np.fromiter(map(known.__getitem__, w), np.uint64, len(w)))
+                tokens += len(w)
         if ids:
             yield from out()
 
     return rows.select("id", "text", "target").mapInArrow(run, BLOCKS)
 
 
-def partial_sums(blocks: DataFrame, vocab, mass: float) -> DataFrame:
+def partial_sums(blocks: DataFrame, vocab, buckets: int, mass: float) -> DataFrame:
     """Blocks sorted by bucket and kind -> each chunk's documents, and its sums of -log p over a bucket's pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        single, context = vocab.value.single, vocab.value.context
+        single, context, whole = vocab.value.single, vocab.value.context, vocab.value.whole
         now = None
         counts: list[tuple] = []
         waiting = 0
@@ -244,11 +343,23 @@ def partial_sums(blocks: DataFrame, vocab, mass: float) -> DataFrame:
         chunk, sums = None, np.zeros((2, 0))
 
         def merged() -> tuple:
-            pair, n = np.concatenate([c[0] for c in counts]), np.concatenate([c[1] for c in counts], axis=1)
+            """Distinct pairs, their counts, and for rarer words (word, other)."""
+            pair, n, *named = (np.concatenate([c[i] for c in counts], axis=-1) for i in range(len(counts[0])))
             order = np.argsort(pair, kind="stable")
             pair, n = pair[order], n[:, order]
             start = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
-            return pair[start], np.add.reduceat(n, start, axis=1)
+            return pair[start], np.add.reduceat(n, start, axis=1), *(x[order][start] for x in named)
+
+        def rare_losses(n: np.ndarray, name: np.ndarray, other: np.ndarray) -> np.ndarray:
+            """-log(c(v, w) + mass * p(w)) of each pair, and log(c(v) + mass) of each context."""
+            ends = (other < FOLLOWS) | (other >= RARE)
+            follows = np.where(ends | (other == CONTEXT), 0, other - np.uint64(FOLLOWS)).astype(np.int64)
+            _, of = np.unique(name, return_inverse=True)
+            out = np.empty(n.shape)
+            for k in (0, 1):
+                times = np.bincount(of, np.where(ends, n[k], 0))[of]
+                out[k] = np.where(other == CONTEXT, np.log(n[k] + mass), -np.log(n[k] + mass * np.where(ends, (times + 1) / whole[k], single[k, follows])))
+            return out
 
         def sent() -> Iterator[pa.RecordBatch]:
             if chunk is not None and (some := np.flatnonzero(sums[1])).size:
@@ -264,17 +375,24 @@ def partial_sums(blocks: DataFrame, vocab, mass: float) -> DataFrame:
                     now, counts, waiting, pairs, chunk = bucket, [], 0, None, None
                 arrays = unpack(data)
                 pair = np.cumsum(arrays[0].astype(np.uint64), dtype=np.uint64)
+                named = []
+                if bucket >= buckets:
+                    named = [pair, arrays.pop(1).astype(np.uint64)]
+                    pair = _key(*named)
                 if kind == COUNTS:
-                    counts.append((pair, np.stack([a.astype(np.int64) for a in arrays[1:]])))
+                    counts.append((pair, np.stack([a.astype(np.int64) for a in arrays[1:]]), *named))
                     waiting += len(pair)
                     if waiting > 4_000_000:
                         counts = [merged()]
                         waiting = len(counts[0][0]) - 4_000_000 if len(counts[0][0]) > 4_000_000 else 0
                     continue
                 if pairs is None:
-                    pairs, n = merged()
-                    v, w = (pairs >> np.uint64(16)).astype(np.int64), (pairs & np.uint64(0xFFFF)).astype(np.int64)
-                    losses = -np.log((n + mass * single[:, w]) / (context[:, v] + mass))
+                    pairs, n, *rest = merged()
+                    if rest:
+                        losses = rare_losses(n, *rest)
+                    else:
+                        v, w = (pairs >> np.uint64(16)).astype(np.int64), (pairs & np.uint64(0xFFFF)).astype(np.int64)
+                        losses = -np.log((n + mass * single[:, w]) / (context[:, v] + mass))
                     counts = []
                 if at != chunk:
                     yield from sent()
@@ -309,6 +427,8 @@ def totals(sums: DataFrame) -> DataFrame:
                 if kind == DOCS:  # a chunk's first row
                     yield from out()
                     now, total = at, np.zeros((2, CHUNK_DOCS))
+                    if arrays[3:]:
+                        total[:, : len(arrays[2])] = np.stack(arrays[3:])
                     ids, lengths = pa.array(arrays[1].astype(np.uint64).view(np.int64), mask=arrays[0].astype(bool)), arrays[2].astype(np.int64)
                 else:
                     total[:, arrays[0]] += np.stack(arrays[1:])
@@ -317,15 +437,16 @@ def totals(sums: DataFrame) -> DataFrame:
     return sums.repartition("chunk").sortWithinPartitions("chunk", F.desc("kind"), "bucket").mapInArrow(run, SCORES)
 
 
-def score(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS, mass: float = MASS) -> DataFrame:
-    """(doc_id, n_tokens, target_loss, background_loss, score) of every document; ``target``: keys of the target documents."""
+def score(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", size: int | None = None, mass: float = MASS) -> DataFrame:
+    """(doc_id, n_tokens, target_loss, background_loss, score) of every document; ``target``: keys of the target documents, ``size``: words of the vocabulary, None for all."""
     spark = docs.sparkSession
     common.bounded_batches(spark, BATCH_ROWS)
     rows = with_target(docs, target, key, text)
-    vocab, tokens = vocabulary(common.stage(count_words(rows), "word-counts"), min(size, WORDS))
+    vocab, tokens, rare = vocabulary(common.stage(count_words(rows), "word-counts"), size)
     shared = spark.sparkContext.broadcast(vocab)
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // BUCKET_TOKENS))
-    return totals(partial_sums(entries(rows, shared, buckets), shared, mass))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets, rare_buckets = max(least, -(-tokens // BUCKET_TOKENS)), max(least, -(-3 * rare // BUCKET_TOKENS))
+    return totals(partial_sums(entries(rows, shared, buckets, rare_buckets, mass), shared, buckets, mass))
 
 
 @register("op1_lm_score")
