@@ -9,7 +9,9 @@ a document, or each of a document's lines as a text of its own (notices such as
 
 The known texts are a table given by the caller. It is broadcast if its digests
 were counted to be at most ``BROADCAST_ROWS``; else Spark picks the join (and
-splits a digest that many documents share). The default table is ``KNOWN``.
+splits a digest that many documents share). The default table is ``KNOWN`` and
+``whole_texts()``: the common licences, each with and without its title, with
+and without what follows its terms, and the notices that they give for files.
 
 Defined cases: null and empty texts, and texts with nothing but copyright
 lines, have an empty form, which matches no licence; repeated documents are
@@ -21,6 +23,7 @@ like the outputs are replaced.
 from __future__ import annotations
 
 from functools import reduce
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +72,46 @@ KNOWN = (
     ("MIT", "SPDX-License-Identifier: MIT"),
 )
 
+# Titles of the short licences in ``KNOWN``.
+_TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"), "MIT-0": ("MIT No Attribution", "MIT No Attribution License"), "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"), "BSD-2-Clause": ("BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "The BSD 2-Clause License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "The BSD 3-Clause License"),
+}
+# Whole texts in license_texts: where the text without a title begins, where its terms end, and the notice for files.
+_FILES = {
+    "Apache-2.0": ("TERMS AND CONDITIONS FOR USE", "END OF TERMS AND CONDITIONS", ("Apache-2.0", "Licensed under the Apache License", "limitations under the License.")),
+    "GPL-2.0": ("Everyone is permitted", "END OF TERMS AND CONDITIONS", ("GPL-2.0-or-later", "This program is free software", "Boston, MA 02110-1301 USA.")),
+    "GPL-3.0": ("Everyone is permitted", "END OF TERMS AND CONDITIONS", ("GPL-3.0-or-later", "This program is free software", "gnu.org/licenses/>.")),
+    "LGPL-2.1": ("Everyone is permitted", "END OF TERMS AND CONDITIONS", ("LGPL-2.1-or-later", "This library is free software", "02110-1301  USA")),
+    "LGPL-3.0": ("Everyone is permitted", None, None),
+    "MPL-2.0": ("1. Definitions", "Exhibit A - Source Code Form", ("MPL-2.0", "This Source Code Form is subject", "mozilla.org/MPL/2.0/.")),
+    "EPL-1.0": ("THE ACCOMPANYING PROGRAM IS", None, None),
+    "CC0-1.0": ("Statement of Purpose", None, None),
+    "Unlicense": ("This is free and unencumbered", "For more information, please refer", None),
+}
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(license, text) of the common licences in the forms in which they are found."""
+    out = []
+    for name, titles in _TITLES.items():
+        body = next(t for n, t in KNOWN if n == name).split("\n\n", 1)[1]
+        for b in {body, body.replace("\n1. ", "\n").replace("\n2. ", "\n").replace("\n3. ", "\n")}:  # clauses also come with bullets
+            out += [(name, b), *((name, f"{t}\n\n{b}") for t in titles)]
+    for name, (begin, end, notice) in _FILES.items():
+        text = (resources.files("roadframe.llm") / "license_texts" / f"{name}.txt").read_text("utf-8")
+        starts, ends = {0, text.index(begin)}, {len(text)}
+        if end:
+            at = text.rindex(end)
+            ends |= {at, at + len(end)} if end.startswith("END OF") else {at}
+        out += [(name, text[a:z]) for a in starts for z in ends]
+        if notice:
+            at = text.rindex(notice[1])
+            out.append((notice[0], text[at : text.index(notice[2], at) + len(notice[2])]))
+    return out
+
+
 _COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n(]*(?:copyright|\(c\)|©)[^\n]*$"
 _RESERVED = r"all\s+rights\s+reserved"
 
@@ -92,8 +135,8 @@ def digest(text: Column) -> Column:
     return F.coalesce(F.sha2(canonical(text), 256), F.lit(EMPTY))
 
 
-def known_table(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    return spark.createDataFrame(list(known), "license string, text string")
+def known_table(spark: SparkSession, known: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
+    return spark.createDataFrame([*KNOWN, *whole_texts()] if known is None else list(known), "license string, text string")
 
 
 def digests(known: DataFrame) -> DataFrame:

@@ -2,11 +2,12 @@
 
 import collections
 import math
+from importlib import resources
 
 import numpy as np
 import pytest
 
-from roadframe.llm import lm_score
+from roadframe.llm import licenses, lm_score
 
 
 @pytest.mark.parametrize("size", [None, 40])
@@ -38,3 +39,18 @@ def test_models_see_words_beyond_the_broadcast_ones(spark, monkeypatch, size):
             assert (got[i].target_loss, got[i].background_loss) == pytest.approx((means[0][i], means[1][i]), rel=1e-5, abs=1e-5)
         else:
             assert got[i].score is None
+
+
+def licence_of(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    return [r.license for r in licenses.scan(rows, licenses.known_table(spark)).orderBy("doc_id").collect()]
+
+
+def test_whole_licence_texts_with_and_without_title(spark):
+    whole = {n: (resources.files("roadframe.llm") / "license_texts" / f"{n}.txt").read_text() for n in licenses._FILES}
+    names = list(whole)
+    untitled = {n: t.split("\n\n", 1)[1] for n, t in licenses.KNOWN if n in licenses._TITLES and "\n\n" in t and "License\n" in t}
+    header = "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except" + whole["Apache-2.0"].split("you may not use this file except")[-1]
+    texts = [*whole.values(), *(t[t.index(licenses._FILES[n][0]) :] for n, t in whole.items()), *(f"Copyright (c) 2011, A\n\n{t}" for t in untitled.values()), header, whole["GPL-3.0"] + "one more term"]
+    assert licence_of(spark, texts) == [*names, *names, *untitled, "Apache-2.0", None]
+    assert {"ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause"} <= set(untitled)
