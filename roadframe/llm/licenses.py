@@ -1,9 +1,12 @@
 """Licence scan by canonical digests, in DataFrame functions only.
 
-A text is brought to a canonical form (lower case, copyright lines and "all
+A text is brought to a canonical form (lower case, copyright notices and "all
 rights reserved" dropped, equivalent spellings made one, everything but letters
 and digits one space), hashed with SHA-256, and hash-joined to the digests of
-known licences, which get the same treatment. The lookup compares entire texts:
+known licences, which get the same treatment. A notice is "copyright" with (c), a year,
+a placeholder or a capital name after it, or (c) with a year, or ©; it is dropped
+to its line's end, if that is near, or in a flattened text to where a licence is
+known to begin, if only names, years and addresses stand between. The lookup compares entire texts:
 a document, or each of a document's lines as a text of its own (notices such as
 "Released under the MIT License." stand on a line).
 
@@ -14,7 +17,7 @@ splits a digest that many documents share). The default table is ``KNOWN`` and
 and without what follows its terms, and the notices that they give for files.
 
 Defined cases: null and empty texts, and texts with nothing but copyright
-lines, have an empty form, which matches no licence; repeated documents are
+notices, have an empty form, which matches no licence; repeated documents are
 looked up each; several known names of one digest are reported as the smallest;
 an empty table of known texts leaves every document unmatched; columns named
 like the outputs are replaced.
@@ -112,13 +115,26 @@ def whole_texts() -> list[tuple[str, str]]:
     return out
 
 
+# The SQL check's rule: the same on texts whose lines begin with "copyright" in notices alone.
 _COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n(]*(?:copyright|\(c\)|©)[^\n]*$"
 _RESERVED = r"all\s+rights\s+reserved"
 
 
+# "copyright" before these words is part of a licence's own text, not a notice.
+_OWN = r"(?!(?i:notices?|holders?|owners?|licen[cs]es?|licen[cs]ed|laws?|acts?|and|or|in|interests?|protection|statements?|disclaimers?|treaty|of|to|on|for|is|the|this|that|as|by\s+\p{Ll})\b)"
+_MARK = r"(?:\(c\)|\(C\)|©|\d{4}|[<\[{])"
+_BEGIN = rf"(?:(?i:copyright)[^\S\n]*:?[^\S\n]*(?:{_MARK}|(?<=[\s:]){_OWN}(?:by\s+)?\p{{Lu}})|\([cC]\)[^\S\n]*(?:\d{{4}}|(?i:copyright))|©)"
+_LICENSE_BEGINS = r"(?i:permission\s+is\s+hereby\s+granted|permission\s+to\s+use|redistribution\s+and\s+use|all\s+rights\s+reserved|licensed\s+under|released\s+under|everyone\s+is\s+permitted|this\s+(?:program|library|software|source\s+code\s+form)\s+is)"
+_FLAT = rf"{_BEGIN}(?:[^\s]*(?:[^\S\n]|\n(?!\s*\n))+(?:(?!{_LICENSE_BEGINS})(?:(?=[^\p{{Ll}}\s])|(?=[^\s]*[@/])|(?=(?:and|by|of|the|for|contributors|authors?|others|present|name|copyright|owners?|holders?)\b))){{1}}){{0,30}}[^\s]*\s+(?={_LICENSE_BEGINS})"
+_NOTICE = rf"(?m)^[^\p{{L}}\p{{N}}\n(]*{_BEGIN}[^\n]{{0,200}}$"
+_NAMED = r"(?i)copyright|©|\(c\)"
+
+
 def canonical(text: Column) -> Column:
     """Words of the canonical form, joined by two spaces and with one around (two: neighbours never share one)."""
-    t = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _COPYRIGHT, " "), _RESERVED, " ")
+    t = F.coalesce(text, F.lit(""))
+    t = F.when(t.rlike(_NAMED), F.regexp_replace(F.regexp_replace(t, _FLAT, " "), _NOTICE, " ")).otherwise(t)
+    t = F.regexp_replace(F.lower(t), _RESERVED, " ")
     t = F.concat(F.lit(" "), F.regexp_replace(t, r"[^\p{L}\p{N}]+", "  "), F.lit(" "))
     t = reduce(lambda c, pair: F.replace(c, F.lit(f" {pair[0]} "), F.lit(f" {pair[1]} ")), EQUIVALENT, t)
     return F.trim(t)

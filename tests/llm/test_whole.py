@@ -2,6 +2,8 @@
 
 import collections
 import math
+import re
+import textwrap
 from importlib import resources
 
 import numpy as np
@@ -54,3 +56,30 @@ def test_whole_licence_texts_with_and_without_title(spark):
     texts = [*whole.values(), *(t[t.index(licenses._FILES[n][0]) :] for n, t in whole.items()), *(f"Copyright (c) 2011, A\n\n{t}" for t in untitled.values()), header, whole["GPL-3.0"] + "one more term"]
     assert licence_of(spark, texts) == [*names, *names, *untitled, "Apache-2.0", None]
     assert {"ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause"} <= set(untitled)
+
+
+def test_licences_wrapped_hard_and_on_one_line(spark):
+    known = {n: t for n, t in reversed(licenses.KNOWN) if n in licenses._TITLES}
+    known |= {n: (resources.files("roadframe.llm") / "license_texts" / f"{n}.txt").read_text() for n in licenses._FILES}
+    notice = "Copyright (c) 2020 Jane Doe, Inc. <jane@example.org>"
+    texts, names = [], []
+    for n, t in known.items():
+        paragraphs = [" ".join(p.split()) for p in re.split(r"\n\s*\n", t) if "<holders>" not in p]
+        if n in licenses._TITLES:
+            paragraphs.insert(1, notice)
+            texts.append(" ".join(paragraphs[1:]))  # a licence on one line that begins with the notice
+            names.append(n)
+        texts += ["\n\n".join(textwrap.fill(p, width) for p in paragraphs) for width in (50, 63, 72, 79)]
+        texts.append(" ".join(paragraphs))
+        names += [n] * 5
+    mit = known["MIT"].split("\n\n", 2)[2]
+    texts += [f"{notice} Commercial use is prohibited. {' '.join(mit.split())}", "copyright notice and this", "Copyright 2020 A\n\u00a9 B", "Copyright law is old"]
+    got = licence_of(spark, texts)
+    assert [(a, b, t[:60]) for a, b, t in zip(got, [*names, None, None, None, None], texts, strict=True) if a != b] == []
+    kept = spark.createDataFrame([(t,) for t in texts[-3:]], "t string").select(licenses.digest(licenses.F.col("t")) != licenses.EMPTY).collect()
+    assert [r[0] for r in kept] == [True, False, True]
+
+
+def test_all_lines_of_isc_at_every_width(spark):
+    isc = " ".join(next(t for n, t in licenses.KNOWN if n == "ISC").split("\n\n", 1)[1].split())
+    assert set(licence_of(spark, ["ISC License\n\n" + textwrap.fill(isc, w) for w in range(40, 100)])) == {"ISC"}
