@@ -14,7 +14,8 @@ is bounded by its labels.
 The wrapper says which elements hold the article: the outermost ``article`` or
 ``main`` that holds slots, or else the innermost element with most of the
 variable text outside links and page furniture. It also tells constant texts
-inside them (template, not article) where ``CONSTANT_PAGES`` or more pages agree.
+inside them (template, not article) where ``CONSTANT_PAGES`` or
+more pages of different content agree.
 
 Every page of a host takes part. Each task folds its pages into one partial
 wrapper for each host, and partial wrappers are aligned with each other, so no
@@ -31,6 +32,7 @@ replaced.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -82,6 +84,7 @@ WORDS = {
     "promo", "promotion", "related", "replies", "reply", "respond", "responses", "share", "sharing", "sidebar", "signup", "skyscraper", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "widgets",
 }
 
+_OTHER = re.compile(r"[\W_]+")
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|textarea|iframe|svg|object|audio|video|canvas|math)\b[^><]*+>.*?(?:</\1\s*>|\Z)"
@@ -164,25 +167,45 @@ def parse(page: str | None) -> Element:
     return root
 
 
-# A wrapper's entry: [label, mark, children] of an element or group, or ["#", mark, constant or None, characters, link characters, texts] of text.
+# A wrapper's entry: [label, mark, children] of an element or group, or ["#", mark, constant or None, letters and digits, those in links,
+# hashes of up to CONSTANT_PAGES different pages with the constant] of text.
 TEXT, GROUP = "#", "()"
 
 
-def shape(e: Element) -> list:
+def letters(text: str) -> int:
+    return len(_OTHER.sub("", text))
+
+
+def page_hash(root: Element) -> int:
+    """Hash of a page's texts outside furniture: copies of an article have the same."""
+    found = hashlib.blake2b(digest_size=6)
+    todo: list = [root]
+    while todo:
+        e = todo.pop()
+        if isinstance(e, Element):
+            if not e.furniture:
+                todo.extend(reversed(e.children))
+        elif text := " ".join(e[0].split()):
+            found.update(f"{text}\n".encode("utf-8", "surrogatepass"))
+    return int.from_bytes(found.digest(), "little")
+
+
+def shape(e: Element, page: int | None = None) -> list:
     """The wrapper of one page: its elements with repeats folded; furniture has no inside."""
+    page = page_hash(e) if page is None else page
     children: list[list] = []
     if not e.furniture:
         texts: list[tuple[str, bool]] = []
 
         def flush() -> None:
             if text := " ".join("".join(t for t, _ in texts).split()):
-                children.append([TEXT, "1", text, len(text), sum(len(t) for t, a in texts if a), 1])
+                children.append([TEXT, "1", text, letters(text), sum(letters(t) for t, a in texts if a), [page]])
             texts.clear()
 
         for c in e.children:
             if isinstance(c, Element):
                 flush()
-                children.append(shape(c))
+                children.append(shape(c, page))
             else:
                 texts.append(c)
         flush()
@@ -210,7 +233,9 @@ def optional(entry: list) -> list:
 def merge(a: list, b: list) -> list:
     """One entry for two of the same name."""
     if a[0] == TEXT:
-        return [TEXT, mark(a[1], b[1]), a[2] if a[2] == b[2] else None, a[3] + b[3], a[4] + b[4], a[5] + b[5]]
+        same = a[2] is not None and a[2] == b[2]
+        pages = [] if not same else a[5] if a[5] == b[5] else sorted({*a[5], *b[5]})[:CONSTANT_PAGES]
+        return [TEXT, mark(a[1], b[1]), a[2] if same else None, a[3] + b[3], a[4] + b[4], pages]
     inside = [merge(x, y) for x, y in zip(a[2], b[2], strict=True)] if a[0] == GROUP else align(a[2], b[2])
     return [a[0], mark(a[1], b[1]), inside]
 
@@ -295,7 +320,7 @@ def inner(entries: list[list]) -> Iterator[list]:
 def weight(entry: list) -> int:
     """Characters of variable text outside links."""
     if entry[0] == TEXT:
-        return max(0, entry[3] - entry[4]) if entry[2] is None or entry[5] < CONSTANT_PAGES else 0
+        return max(0, entry[3] - entry[4]) if entry[2] is None or len(entry[5]) < CONSTANT_PAGES else 0
     return sum(weight(c) for c in inner(entry[2]))
 
 
@@ -333,7 +358,7 @@ def decide(wrapper: list) -> dict:
         for c in inner(entry[2]):
             if c[0] != TEXT:
                 constant(c, f"{path}/{c[0]}")
-            elif c[2] is not None and c[5] >= CONSTANT_PAGES:
+            elif c[2] is not None and len(c[5]) >= CONSTANT_PAGES:
                 constants.append([path, c[2]])
 
     for p, e in articles:

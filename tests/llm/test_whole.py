@@ -9,7 +9,7 @@ from importlib import resources
 import numpy as np
 import pytest
 
-from roadframe.llm import licenses, lm_score
+from roadframe.llm import html_wrapper, licenses, lm_score
 
 
 @pytest.mark.parametrize("size", [None, 40])
@@ -83,3 +83,19 @@ def test_licences_wrapped_hard_and_on_one_line(spark):
 def test_all_lines_of_isc_at_every_width(spark):
     isc = " ".join(next(t for n, t in licenses.KNOWN if n == "ISC").split("\n\n", 1)[1].split())
     assert set(licence_of(spark, ["ISC License\n\n" + textwrap.fill(isc, w) for w in range(40, 100)])) == {"ISC"}
+
+
+def main_texts(pages):
+    w = None
+    for p in pages:
+        one = html_wrapper.shape(html_wrapper.parse(p))
+        w = html_wrapper.merge(w, one) if w else one
+    return [html_wrapper.extract(p, html_wrapper.decide(w)) for p in pages]
+
+
+def test_repeats_and_copies_are_not_template():
+    assert main_texts(["<body>" + "<p>same</p>" * 5]) == ["\n".join(["same"] * 5)]
+    cells = "<table><tr>" + "<td>0</td>" * 6 + "</tr></table>"
+    assert main_texts([f"<article><h1>t{k}</h1>{cells if k == 2 else ''}<p>x{k}</p></article>" for k in range(4)])[2] == "\n".join(["t2", *"000000", "x2"])
+    assert main_texts(["<body><h1>T</h1><p>a</p><p>b</p>"] * 7) == ["T\na\nb"] * 7
+    assert main_texts([f"<article><div>by us</div><p>x{k}</p></article>" for k in range(5)]) == [f"x{k}" for k in range(5)]
