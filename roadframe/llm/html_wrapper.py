@@ -12,9 +12,12 @@ that never differ stay constants. A level that stays irregular beyond
 is bounded by its labels.
 
 The wrapper says which elements hold the article: the outermost ``article`` or
-``main`` that holds slots, or else the innermost element with most of the
-variable text outside links and page furniture. It also tells constant texts
-inside them (template, not article) where ``CONSTANT_PAGES`` or
+``main`` that holds slots, or else the innermost elements with all of the
+variable text outside links and page furniture: from the outermost, one goes
+down only while one child holds it all. Furniture is told by tags, roles and
+whole names; a form, header, aside or so named element that holds the only
+article of a host, or most of its variable text, is none. The wrapper also tells
+constant texts inside them (template, not article) where ``CONSTANT_PAGES`` or
 more pages of different content agree.
 
 Every page of a host takes part. Each task folds its pages into one partial
@@ -84,9 +87,15 @@ WORDS = {
     "promo", "promotion", "related", "replies", "reply", "respond", "responses", "share", "sharing", "sidebar", "signup", "skyscraper", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "widgets",
 }
 
+# Words that a furniture name may have besides, furniture that is never an article's frame, and what its labels begin with.
+PLACES = {"area", "bar", "block", "bottom", "box", "container", "global", "inner", "item", "items", "left", "link", "links", "list", "main", "outer", "page", "post", "posts", "primary", "right", "secondary", "section", "site", "slot", "top", "wrap", "wrapper"}
+NEVER = {"nav", "footer", "button", "select", "option", "menu", "dialog", "head", "title", "search", "input"}
+SHUT = "!"
+
 _OTHER = re.compile(r"[\W_]+")
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|<(?:svg|math)\b[^><]*/>"
     r"|<(script|style|noscript|template|textarea|iframe|svg|object|audio|video|canvas|math)\b[^><]*+>.*?(?:</\1\s*>|\Z)"
     r"""|<(/?)([a-zA-Z][^\s/><]*+)((?:[^><"']|"[^"]*"|'[^']*')*+)>"""
     r"|<(/?)([a-zA-Z][^\s/><]*+)([^><]*+)>"
@@ -97,17 +106,28 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
+def furniture_name(name: str) -> bool:
+    """Whether a whole class or id names furniture: words of it, and of place and box, only."""
+    parts = [p for p in re.split(r"[-_:.\d]+", name) if p]
+    return any(p in WORDS for p in parts) and all(p in WORDS or p in PLACES for p in parts)
+
+
 class Element:
-    __slots__ = ("tag", "label", "furniture", "children")
+    __slots__ = ("tag", "label", "furniture", "inside", "children")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.children = tag, []
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
         names = re.findall(r"[^\s]+", f"{found.get('class', '')} {found.get('id', '')}".lower())
         self.label = ".".join([tag, *(re.sub(r"\d+", "0", n).replace("/", "") for n in names)])
-        parts = {w for n in names for w in re.split(r"[-_:.]+", n)}
+        words = any(furniture_name(n) for n in names) and tag not in ("html", "body", "article", "main")
         hidden = "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", ""))
-        self.furniture = bool(tag in FURNITURE or hidden or found.get("role", "").lower() in ROLES or (parts & WORDS and tag not in ("html", "body", "article", "main")))
+        role = found.get("role", "").lower()
+        self.furniture = bool(tag in FURNITURE or hidden or role in ROLES or words)
+        # furniture that may be the frame of an article
+        self.inside = self.furniture and not hidden and tag not in NEVER and (role == "form" or role not in ROLES)
+        if self.furniture:
+            self.label = SHUT + self.label
 
 
 def parse(page: str | None) -> Element:
@@ -183,7 +203,7 @@ def page_hash(root: Element) -> int:
     while todo:
         e = todo.pop()
         if isinstance(e, Element):
-            if not e.furniture:
+            if not e.furniture or e.inside:
                 todo.extend(reversed(e.children))
         elif text := " ".join(e[0].split()):
             found.update(f"{text}\n".encode("utf-8", "surrogatepass"))
@@ -191,10 +211,10 @@ def page_hash(root: Element) -> int:
 
 
 def shape(e: Element, page: int | None = None) -> list:
-    """The wrapper of one page: its elements with repeats folded; furniture has no inside."""
+    """The wrapper of one page: its elements with repeats folded; furniture that cannot be the page's frame has no inside."""
     page = page_hash(e) if page is None else page
     children: list[list] = []
-    if not e.furniture:
+    if not e.furniture or e.inside:
         texts: list[tuple[str, bool]] = []
 
         def flush() -> None:
@@ -318,20 +338,51 @@ def inner(entries: list[list]) -> Iterator[list]:
 
 
 def weight(entry: list) -> int:
-    """Characters of variable text outside links."""
+    """Letters and digits of variable text outside links, inside of furniture included."""
     if entry[0] == TEXT:
         return max(0, entry[3] - entry[4]) if entry[2] is None or len(entry[5]) < CONSTANT_PAGES else 0
     return sum(weight(c) for c in inner(entry[2]))
 
 
+def tag_of(entry: list) -> str:
+    return entry[0].removeprefix(SHUT).split(".")[0]
+
+
+def framed(wrapper: list) -> tuple[list, list[str]]:
+    """The wrapper without furniture, and paths of furniture that stays: it holds the only article, or most variable text where there is none."""
+    opened: list[str] = []
+
+    def articles(entry: list, furniture: bool) -> bool:
+        if entry[0] == TEXT or entry[0].startswith(SHUT) and not furniture:
+            return False
+        return tag_of(entry) in ("article", "main") and weight(entry) > 0 or any(articles(c, furniture) for c in inner(entry[2]))
+
+    outside, somewhere, whole = articles(wrapper, False), articles(wrapper, True), weight(wrapper)
+
+    def without(entry: list, path: str) -> list:
+        if entry[0] == TEXT:
+            return entry
+        if entry[0] == GROUP:
+            return [*entry[:2], [c for e in entry[2] if (c := without(e, path)) is not None]]
+        path = f"{path}/{entry[0]}" if path else entry[0]
+        if entry[0].startswith(SHUT):
+            if outside or not (articles(entry, True) if somewhere else whole and weight(entry) >= MOST * whole):
+                return [*entry[:2], []]
+            opened.append(path)
+        return [*entry[:2], [without(c, path) for c in entry[2]]]
+
+    return without(wrapper, ""), sorted(set(opened))
+
+
 def decide(wrapper: list) -> dict:
     """Paths of the elements that hold the article, and (path, text) of template texts in them."""
+    wrapper, opened = framed(wrapper)
     articles: list[tuple[str, list]] = []
 
     def find(entry: list, path: str) -> None:
         if entry[0] == TEXT:
             return
-        if entry[0].split(".")[0] in ("article", "main") and weight(entry):
+        if tag_of(entry) in ("article", "main") and weight(entry):
             articles.append((path, entry))
             return
         for c in inner(entry[2]):
@@ -342,10 +393,10 @@ def decide(wrapper: list) -> dict:
         entry, path = wrapper, wrapper[0]
         while True:
             whole, inside = weight(entry), [c for c in inner(entry[2]) if c[0] != TEXT]
-            if any(c[0].split(".")[0] in ("h1", "h2") for c in inside):
+            if any(tag_of(c) in ("h1", "h2") for c in inside):
                 break
             top = max(inside, key=weight, default=None)
-            if top is None or top[0].split(".")[0] in TEXT_BLOCK or weight(top) < MOST * whole or not whole:
+            if top is None or tag_of(top) in TEXT_BLOCK or weight(top) < MOST * whole or not whole:
                 break
             entry, path = top, f"{path}/{top[0]}"
         articles = [(path, entry)]
@@ -363,10 +414,10 @@ def decide(wrapper: list) -> dict:
 
     for p, e in articles:
         constant(e, p)
-    return {"roots": sorted({p for p, _ in articles}), "constants": constants}
+    return {"roots": sorted({p for p, _ in articles}), "constants": constants, "opened": opened}
 
 
-def blocks(e: Element, path: str, constants: set[tuple[str, str]]) -> Iterator[str]:
+def blocks(e: Element, path: str, constants: set[tuple[str, str]], opened: set[str]) -> Iterator[str]:
     """Text blocks of an element in page order, without furniture and template texts."""
     texts: list[str] = []
 
@@ -378,8 +429,8 @@ def blocks(e: Element, path: str, constants: set[tuple[str, str]]) -> Iterator[s
     for c in e.children:
         if isinstance(c, Element):
             yield from flush()
-            if not c.furniture:
-                yield from blocks(c, f"{path}/{c.label}", constants)
+            if not c.furniture or f"{path}/{c.label}" in opened:
+                yield from blocks(c, f"{path}/{c.label}", constants, opened)
             elif c.tag == "header":  # an article's own title
                 yield from (" ".join("".join(t for t, _ in h.children if isinstance(t, str)).split()) for h in c.children if isinstance(h, Element) and h.tag in HEADING and all(isinstance(x, tuple) for x in h.children))
         else:
@@ -392,15 +443,15 @@ def extract(page: str | None, decision: dict | None) -> str:
     root = parse(page)
 
     def found(d: dict) -> list[str]:
-        roots, constants = set(d["roots"]), {(p, t) for p, t in d["constants"]}
+        roots, constants, opened = set(d["roots"]), {(p, t) for p, t in d["constants"]}, set(d["opened"])
         out: list[str] = []
 
         def walk(e: Element, path: str) -> None:
             if path in roots:
-                out.extend(b for b in blocks(e, path, constants) if b)
+                out.extend(b for b in blocks(e, path, constants, opened) if b)
                 return
             for c in e.children:
-                if isinstance(c, Element) and not c.furniture:
+                if isinstance(c, Element) and (not c.furniture or f"{path}/{c.label}" in opened):
                     walk(c, f"{path}/{c.label}")
 
         walk(root, root.label)

@@ -99,3 +99,11 @@ def test_repeats_and_copies_are_not_template():
     assert main_texts([f"<article><h1>t{k}</h1>{cells if k == 2 else ''}<p>x{k}</p></article>" for k in range(4)])[2] == "\n".join(["t2", *"000000", "x2"])
     assert main_texts(["<body><h1>T</h1><p>a</p><p>b</p>"] * 7) == ["T\na\nb"] * 7
     assert main_texts([f"<article><div>by us</div><p>x{k}</p></article>" for k in range(5)]) == [f"x{k}" for k in range(5)]
+
+
+def test_furniture_words_and_frames():
+    for frame in ("div class='layout has-sidebar'", "div class='content no-comments'", "form", "div class=header"):
+        pages = [f"<body><{frame}><nav>menu</nav><div class='article-header'><h1>title {k}</h1></div><p>long text {k}</p></{frame.split()[0]}><div class='sidebar'>s{k}</div></body>" for k in range(6)]
+        assert main_texts(pages) == [f"title {k}\nlong text {k}" for k in range(6)]
+    assert main_texts([f"<form><nav>m</nav><article><h1>t{k}</h1><p>x</p></article></form>" for k in range(3)]) == [f"t{k}\nx" for k in range(3)]
+    assert main_texts(["<body><svg width='1'/><p>one</p><p>two</p><svg><text>no</text></svg></body>"]) == ["one\ntwo"]
