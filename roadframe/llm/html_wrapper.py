@@ -392,14 +392,14 @@ def decide(wrapper: list) -> dict:
     if not articles:
         entry, path = wrapper, wrapper[0]
         while True:
-            whole, inside = weight(entry), [c for c in inner(entry[2]) if c[0] != TEXT]
-            if any(tag_of(c) in ("h1", "h2") for c in inside):
+            held = [c for c in inner(entry[2]) if weight(c)]
+            if len(held) != 1 or tag_of(held[0]) in TEXT_BLOCK or held[0][0] == TEXT or any(tag_of(c) in ("h1", "h2") for c in inner(entry[2])):
                 break
-            top = max(inside, key=weight, default=None)
-            if top is None or tag_of(top) in TEXT_BLOCK or weight(top) < MOST * whole or not whole:
-                break
-            entry, path = top, f"{path}/{top[0]}"
-        articles = [(path, entry)]
+            entry, path = held[0], f"{path}/{held[0][0]}"
+        if not held or any(c[0] == TEXT for c in held):
+            articles = [(path, entry)]
+        else:  # all that holds variable text, and headings
+            articles = [(f"{path}/{c[0]}", c) for c in inner(entry[2]) if weight(c) or tag_of(c) in HEADING]
     else:  # an article of comments or teasers is small beside the main one
         most = max(weight(e) for _, e in articles)
         articles = [(p, e) for p, e in articles if weight(e) >= most / 4]

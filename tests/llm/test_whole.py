@@ -107,3 +107,8 @@ def test_furniture_words_and_frames():
         assert main_texts(pages) == [f"title {k}\nlong text {k}" for k in range(6)]
     assert main_texts([f"<form><nav>m</nav><article><h1>t{k}</h1><p>x</p></article></form>" for k in range(3)]) == [f"t{k}\nx" for k in range(3)]
     assert main_texts(["<body><svg width='1'/><p>one</p><p>two</p><svg><text>no</text></svg></body>"]) == ["one\ntwo"]
+
+
+def test_siblings_with_variable_text_are_kept():
+    pages = [f"<body><div class=top><a href=x>all {k}</a></div><div class=lead>lead {k}</div><div class=text><p>{'long ' * 20}{k}</p></div></body>" for k in range(6)]
+    assert main_texts(pages) == [f"lead {k}\n{'long ' * 20}{k}" for k in range(6)]
