@@ -105,7 +105,10 @@ def library_encoder(path: str) -> LibraryEncoder:
 
 def train_dictionary(df: DataFrame, encoder: Callable[[], Callable], text: str, end_id: int, id_bytes: int, size: int, sample_rows: int, sample_chars: int, sample_bytes: int) -> bytes:
     """A zstandard dictionary of at most ``size`` bytes; empty if there is too little to learn from."""
-    rows = df.select(text).where(F.length(text).between(1, sample_chars)).orderBy(F.xxhash64(text), text).limit(sample_rows)
+    usable = df.select(F.col(text).alias("text"), F.xxhash64(text).alias("h")).where(F.length(text).between(1, sample_chars))
+    # copies share their hash: the window is found over different hashes, so that no copy group fills it
+    last = usable.select("h").distinct().orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    rows = usable.where(F.col("h") <= F.lit(last)).distinct().orderBy("h", "text").limit(sample_rows).select("text")
     encode, samples, total = encoder(), [], 0
     for row in rows.toLocalIterator():
         ids = np.append(np.frombuffer(encode(row[0]), "<u4"), np.uint32(end_id))[: sample_bytes // id_bytes]
@@ -176,7 +179,7 @@ def write(df: DataFrame, folder: str, encoder: Callable[[], Callable], key: str
     for s in shards:
         s["start"] = start
         start += s["ids"]
-    manifest = {"version": VERSION, "id_bytes": id_bytes, "end_id": end_id, "dictionary_sha256": digest.hex(), "shards": shards}
+    manifest = {"version": VERSION, "id_bytes": id_bytes, "end_id": end_id, "dictionary_sha256": digest.hex(), "dictionary_trained": bool(words), "shards": shards}
     files.write_manifest(folder, manifest)
     return manifest
 

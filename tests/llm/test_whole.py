@@ -9,7 +9,8 @@ from importlib import resources
 import numpy as np
 import pytest
 
-from roadframe.llm import html_wrapper, licenses, lm_score
+from roadframe.llm import bpe, html_wrapper, licenses, lm_score, token_store
+from roadframe.session import scratch_path
 
 
 @pytest.mark.parametrize("size", [None, 40])
@@ -112,3 +113,17 @@ def test_furniture_words_and_frames():
 def test_siblings_with_variable_text_are_kept():
     pages = [f"<body><div class=top><a href=x>all {k}</a></div><div class=lead>lead {k}</div><div class=text><p>{'long ' * 20}{k}</p></div></body>" for k in range(6)]
     assert main_texts(pages) == [f"lead {k}\n{'long ' * 20}{k}" for k in range(6)]
+
+
+def test_dictionary_sample_has_different_texts(spark):
+    hash_of = lambda texts: {r.t: r.h for r in spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", "xxhash64(t) AS h").collect()}
+    texts = [f"text {k} has words of its own such as {' '.join(str(k * j % 97) for j in range(60))}" for k in range(200)]
+    first = min((h := hash_of(texts)), key=h.get)
+    docs = spark.createDataFrame(list(enumerate(texts + [first] * 400)), "doc_id long, text string")
+    encoder = lambda: token_store.library_encoder(bpe.word_bpe())
+    manifest = token_store.write(docs, scratch_path(spark, "test-copies"), encoder, sample_rows=100)
+    assert manifest["dictionary_trained"]
+    once = token_store.write(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), scratch_path(spark, "test-copies"), encoder, sample_rows=100)
+    assert manifest["dictionary_sha256"] == once["dictionary_sha256"]
+    none = token_store.write(docs.where("doc_id < 2"), scratch_path(spark, "test-copies"), encoder)
+    assert not none["dictionary_trained"]
