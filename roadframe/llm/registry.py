@@ -27,10 +27,13 @@ def _load() -> None:
         html_wrapper,
         licenses,
         lm_score,
+        ns_bounds,
         pu_quality,
         quality_rules,
         simhash_gph,
+        source_divergence,
         token_store,
+        topk_blocks,
         warc,
     )
     QUERIES["pipeline"] = corpus_pipeline.run

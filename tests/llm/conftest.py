@@ -23,7 +23,9 @@ def write_tables(spark, folder, empty):
     items = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"), (2, "one"), (2, "one"), (None, "quick brown"), (3, None), (4, ""), (5, "Alpha, BETA gamma delta epsilon zeta eta theta iota kappa lambda")]
     page = "<html><body><nav><a href=/>menu</a></nav><article><h1>T</h1><p>" + "long enough body text " * 20 + "</p></article></body></html>"
     pages = [(1, "http://a.example/1", page), (2, "http://a.example/2", page), (3, None, None), (4, "not a url", ""), (5, "http://b.example/\r\nX: y", "<p>a<p>b"), (None, "http://a.example/", page), (None, None, "<div"), (2, "http://a.example/2", page), (6, "http://c.example/", "x" * 200_000)]
+    vecs = [(k, [0.1 * (k % 7)] * 64) for k in range(0, 200, 10)] + [(100, [0.6] * 64), (None, [0.5] * 64), (1, None), (2, []), (3, [1.0]), (4, [float("nan")] * 64), (6, [None] * 64)]
     tables = {
+        "embeddings": clashing(spark.createDataFrame(vecs, "vec_id long, embedding array<float>")),
         "documents": clashing(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")),
         "labels": spark.createDataFrame(labels, "doc_id long, quality int, toxic int").withColumn("text", F.lit("clash")),
         "benchmark": spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit("clash")),

@@ -27,7 +27,7 @@ QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "labels", "benchmark", "pages"):
+    for t in ("documents", "labels", "benchmark", "pages", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     return c
 
