@@ -50,6 +50,8 @@ SCALE, ADDED = 1_000_000_000, 2
 HELD, OUT_ROWS, PIECE = 300_000, 50_000, 1 << 20
 #: Pair corrections worked out at once, and held before equal pairs are added up.
 CELLS, PAIRS = 1 << 18, 1 << 20
+#: Entries of a path that decide its range.
+KEY_ENTRIES = 16
 
 #: A-Z become a-z, other characters below 0x80 but a-z become spaces.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -258,7 +260,10 @@ def _pairs(entries: DataFrame, groups: DataFrame) -> DataFrame:
     rows = entries.groupBy("lang", "term").agg(F.sort_array(F.collect_list(F.struct("source", "n", "p", "z"))).alias("path"))
     rows = common.stage(rows.groupBy("lang", "path").agg(F.count(F.lit(1)).alias("times")), "paths")
     parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    both = rows.repartitionByRange(parts, "lang", "path").sortWithinPartitions("lang", "path").mapInArrow(_tree, "lang string, lo string, hi string, value long")
+    # Spark samples range keys on the driver, so the key is short: 4 hex digits for each of a path's first entries.
+    # Paths that begin alike have keys that begin alike, whatever their hashes.
+    digits = F.transform(F.slice("path", 1, KEY_ENTRIES), lambda x: F.substring(F.lpad(F.hex(F.xxhash64(x["source"], x["n"])), 16, "0"), 13, 4))
+    both = rows.repartitionByRange(parts, F.col("lang"), F.array_join(digits, "")).sortWithinPartitions("lang", "path").mapInArrow(_tree, "lang string, lo string, hi string, value long")
 
     other = groups.select("lang", F.col("source").alias("other"), F.col("z").alias("other_z"))
     lo, hi = F.least("source", "other").alias("lo"), F.greatest("source", "other").alias("hi")
