@@ -515,13 +515,15 @@ def main_text(pages: DataFrame, url: str = "url", page: str = "html", out: str =
     common.bounded_batches(pages.sparkSession)
     base = common.without(pages, [out]).withColumn("__llm_host", host(url))
     found = common.stage(decisions(wrappers(base.select(F.col("__llm_host").alias("host"), F.col(page).alias("page")))), "wrapper-decisions")
+    found = found.select(F.col("host").alias("__llm_of"), F.col("decision").alias("__llm_decision"))
     if found.count() <= BROADCAST_HOSTS:
-        rows = base.join(F.broadcast(found), F.col("__llm_host") == F.col("host"), "left")
+        rows = base.join(F.broadcast(found), F.col("__llm_host") == F.col("__llm_of"), "left")
     else:
-        salted = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rows = base.withColumn("__llm_salt", F.pmod(F.xxhash64(url, page), F.lit(SALTS)).cast("int")).join(salted, (F.col("__llm_host") == F.col("host")) & (F.col("__llm_salt") == F.col("salt")), "left")
+        salted = found.withColumn("__llm_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        own = base.withColumn("__llm_own_salt", F.pmod(F.xxhash64(url, page), F.lit(SALTS)).cast("int"))
+        rows = own.join(salted, (F.col("__llm_host") == F.col("__llm_of")) & (F.col("__llm_own_salt") == F.col("__llm_salt")), "left")
     kept = [c for c in base.columns if c != "__llm_host"]
-    rows = rows.select(*[F.col(f"`{c}`") for c in kept], F.col("decision").alias("__llm_decision"))
+    rows = rows.select(*[F.col(f"`{c}`") for c in kept], "__llm_decision")
 
     def make():
         known: dict[str, dict] = {}

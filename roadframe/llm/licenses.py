@@ -142,6 +142,8 @@ def canonical(text: Column) -> Column:
 
 #: SHA-256 of the empty form.
 EMPTY = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+#: Known digests up to which they are a constant of the plan, looked up inside the row.
+INLINE_ROWS = 1000
 #: Known digests (about 100 bytes each) up to which the lookup table is broadcast.
 BROADCAST_ROWS = 50_000
 
@@ -156,22 +158,47 @@ def known_table(spark: SparkSession, known: tuple[tuple[str, str], ...] | None =
 
 
 def digests(known: DataFrame) -> DataFrame:
-    """(known, name): one row for each digest; marked for broadcast if it was counted to be small."""
-    table = known.select("license", digest(F.col("text")).alias("known")).where(F.col("known") != EMPTY).groupBy("known").agg(F.min("license").alias("name"))
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    """(__llm_known, __llm_name): one row for each digest."""
+    table = known.select(F.col("license").cast("string").alias("__llm_name"), digest(F.col("text")).alias("__llm_known")).where(F.col("__llm_known") != EMPTY)
+    return table.groupBy("__llm_known").agg(F.min("__llm_name").alias("__llm_name"))
 
 
 def scan(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
-    """Append text_digest (null: empty form), license (of the whole text, or null) and line_licenses (sorted names of lines that are known texts)."""
+    """Append text_digest (null: empty form), license (of the whole text, or null) and line_licenses (sorted names of lines that are known texts).
+
+    Up to ``INLINE_ROWS`` known digests are a constant of the plan, and a row is judged by itself in one pass.
+    More are joined: then the rows are numbered and written first, so that both joins see the same rows under
+    the same numbers, whatever ``docs`` is.
+    """
     table = digests(known)
+    size = table.count()
+    return _scan_inline(docs, table, text) if size <= INLINE_ROWS else _scan_joined(docs, table if size > BROADCAST_ROWS else F.broadcast(table), text)
+
+
+def _scan_inline(docs: DataFrame, table: DataFrame, text: str) -> DataFrame:
+    base = common.without(docs, ["text_digest", "license", "line_licenses"])
+    names = {r["__llm_known"]: r["__llm_name"] for r in table.collect()}
+    pairs = [F.lit(x) for pair in names.items() for x in pair]
+
+    def name(d: Column) -> Column:
+        return F.try_element_at(F.create_map(*pairs), d) if pairs else F.lit(None).cast("string")
+
+    lines = F.coalesce(F.split(F.col(f"`{text}`"), "\n"), F.array().cast("array<string>"))
+    found = F.array_sort(F.array_distinct(F.array_compact(F.transform(lines, lambda x: name(digest(x))))))
+    own = base.withColumn("__llm_digest", digest(F.col(f"`{text}`")))
+    return own.select(*[F.col(f"`{c}`") for c in base.columns], F.nullif("__llm_digest", F.lit(EMPTY)).alias("text_digest"), name(F.col("__llm_digest")).alias("license"), found.alias("line_licenses"))
+
+
+def _scan_joined(docs: DataFrame, table: DataFrame, text: str) -> DataFrame:
     base = common.without(docs, ["text_digest", "license", "line_licenses"])
-    rows = base.withColumn("__llm_row", F.monotonically_increasing_id())
-    whole = rows.withColumn("text_digest", digest(F.col(text))).join(table, F.col("text_digest") == F.col("known"), "left").withColumn("license", F.col("name")).drop("known", "name")
-    lines = rows.select(F.col("__llm_row").alias("row"), F.split(text, "\n").alias("lines")).select("row", F.explode("lines").alias("line"))
-    found = lines.select("row", digest(F.col("line")).alias("known")).join(table, "known").groupBy("row").agg(F.sort_array(F.collect_set("name")).alias("names"))
-    out = whole.join(found, F.col("__llm_row") == F.col("row"), "left")
+    rows = common.stage(base.withColumn("__llm_row", F.monotonically_increasing_id()), "numbered-documents")
+    whole = rows.withColumn("__llm_digest", digest(F.col(f"`{text}`"))).join(table, F.col("__llm_digest") == F.col("__llm_known"), "left").withColumnRenamed("__llm_name", "__llm_license")
+    lines = rows.select(F.col("__llm_row").alias("__llm_of"), F.explode(F.split(F.col(f"`{text}`"), "\n")).alias("__llm_line"))
+    found = lines.select("__llm_of", digest(F.col("__llm_line")).alias("__llm_digest")).join(table, F.col("__llm_digest") == F.col("__llm_known"))
+    found = found.groupBy("__llm_of").agg(F.sort_array(F.collect_set("__llm_name")).alias("__llm_names"))
+    out = whole.join(found, F.col("__llm_row") == F.col("__llm_of"), "left")
     empty = F.array().cast("array<string>")
-    return out.select(*[F.col(f"`{c}`") for c in base.columns], F.nullif("text_digest", F.lit(EMPTY)).alias("text_digest"), "license", F.coalesce("names", empty).alias("line_licenses"))
+    return out.select(*[F.col(f"`{c}`") for c in base.columns], F.nullif("__llm_digest", F.lit(EMPTY)).alias("text_digest"), F.col("__llm_license").alias("license"), F.coalesce("__llm_names", empty).alias("line_licenses"))
 
 
 def _canonical_sql(column: str) -> str:

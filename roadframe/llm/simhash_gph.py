@@ -285,14 +285,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """The rows of ``docs`` without all but one of each near-duplicate group: the one of smallest id stays (null ids last).
 
-    Rows that repeat an id are told apart by their place, so ``docs`` must keep its order when it is read
-    again, as a table of files does.
+    Rows are numbered and written once, so that the groups and the rows that leave are found on the same rows
+    under the same numbers, whatever ``docs`` is (shuffled, limited, or read from files).
     """
-    rows = docs.withColumn("__llm_row", F.monotonically_increasing_id())
-    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__llm_row").alias("row"))
+    rows = common.stage(docs.withColumn("__llm_row", F.monotonically_increasing_id()), "numbered-documents")
+    key = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"), F.col("__llm_row").alias("row"))
     found = near_duplicates(rows.select(key.alias("key"), F.col(text).alias("text")), "key", "text", shingle, max_bits)
-    gone = common.stage(found.where(F.col("id") != F.col("component_id")).select(F.col("id.row").alias("gone")), "near-copies")
-    return rows.join(gone, F.col("__llm_row") == F.col("gone"), "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
+    gone = common.stage(found.where(F.col("id") != F.col("component_id")).select(F.col("id.row").alias("__llm_gone")), "near-copies")
+    return rows.join(gone, F.col("__llm_row") == F.col("__llm_gone"), "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
 
 
 @register("op4_simhash_gph")
