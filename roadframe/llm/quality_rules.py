@@ -155,24 +155,30 @@ def certify(measured: DataFrame, strata: tuple[str, ...], risk: float, error: fl
 def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", strata_column: str = "lang",
           strata: tuple[str, ...] = STRATA, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """Append ``STATS``, base_failed, rejected_by (names of the rules beyond their cutoffs) and kept."""
-    holdout = labels.where("quality IN (0, 1)").select(F.col("doc_id").alias("__llm_key"), F.col("quality"))
-    narrow = docs.select(F.col(key).alias("__llm_key"), F.col(text).alias("text"), stratum(strata_column, strata).alias("stratum"))
-    sample = measure(narrow, "text").drop("text").join(holdout, "__llm_key")
-    cuts = certify(sample, strata, risk, error)
-    base = measure(common.without(docs, ["rejected_by", "kept"]), text).withColumn("__llm_stratum", stratum(strata_column, strata))
-    out = base.join(F.broadcast(cuts), F.col("__llm_stratum") == F.col("stratum"), "left")
-    by = F.array_compact(F.array(*[F.expr(f"CASE WHEN {beyond(r, f'cut_{r}')} THEN '{r}' END") for r in RULES]))
-    out = out.withColumn("rejected_by", F.when(F.col("base_failed"), F.array().cast("array<string>")).otherwise(by))
-    out = out.withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
-    return out.select(*[F.col(f"`{c}`") for c in base.columns if c != "__llm_stratum"], "rejected_by", "kept")
+    return verdict(measure(common.without(docs, ["rejected_by", "kept"]), text), labels, key, strata_column, strata, risk, error)
 
 
-def keep(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, with its columns.
+def verdict(measured: DataFrame, labels: DataFrame, key: str = "doc_id", strata_column: str = "lang",
+            strata: tuple[str, ...] = STRATA, risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """Append rejected_by and kept to rows that ``measure`` gave.
 
-    The condition is tied to its place: pushed below, it would compute the statistics a second time.
+    The rows are written once and read twice, for the cutoffs (numbers of labelled rows alone) and for the
+    verdict, so the statistics of a text are computed once.
     """
-    return judge(docs, labels, **how).where(F.when(F.monotonically_increasing_id() >= 0, F.col("kept")))
+    rows = common.stage(measured, "measured")
+    holdout = labels.where("quality IN (0, 1)").select(F.col("doc_id").alias("__llm_key"), F.col("quality"))
+    narrow = rows.select(F.col(f"`{key}`").alias("__llm_key"), stratum(f"`{strata_column}`", strata).alias("stratum"), *STATS, "base_failed")
+    cuts = certify(narrow.join(holdout, "__llm_key"), strata, risk, error)
+    cuts = cuts.select([F.col(c).alias(f"__llm_{c}") for c in cuts.columns])
+    out = rows.withColumn("__llm_own", stratum(f"`{strata_column}`", strata)).join(F.broadcast(cuts), F.col("__llm_own") == F.col("__llm_stratum"), "left")
+    by = F.array_compact(F.array(*[F.expr(f"CASE WHEN {beyond(r, f'__llm_cut_{r}')} THEN '{r}' END") for r in RULES]))
+    out = out.withColumn("__llm_by", F.when(F.col("base_failed"), F.array().cast("array<string>")).otherwise(by))
+    return out.select(*[F.col(f"`{c}`") for c in rows.columns], F.col("__llm_by").alias("rejected_by"), (~F.col("base_failed") & (F.size("__llm_by") == 0)).alias("kept"))
+
+
+def keep(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with its columns."""
+    return judge(docs, labels, **how).where("kept")
 
 
 def oracle(strata: tuple[str, ...] = STRATA, risk: float = RISK, error: float = ERROR) -> str:
@@ -205,5 +211,5 @@ FROM m LEFT JOIN cuts ON cuts.cut_stratum = m.stratum
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every whole document, strata by language."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    out = judge(docs, read_table(spark, sf_dir, "labels"))
+    out = verdict(measure(docs).drop("text"), read_table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
