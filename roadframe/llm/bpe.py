@@ -23,6 +23,7 @@ import json
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,48 +50,52 @@ def merge(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, int]], by_
     n = len(symbols)
     if n < 2:
         return symbols
-    sym = list(symbols)
+    sym, get = list(symbols), pairs.get
     size = 1 << (n - 2).bit_length()
     bits = n.bit_length()
     mask = (1 << bits) - 1
     tree = [INFINITY] * (2 * size)
-    for i in range(n - 1):
-        found = pairs.get((sym[i], sym[i + 1]))
+    for i, pair in enumerate(zip(sym, sym[1:], strict=False)):
+        found = get(pair)
         if found:
             tree[size + i] = found[0] << bits | i
     for i in range(size - 1, 0, -1):
         a, b = tree[2 * i], tree[2 * i + 1]
         tree[i] = a if a < b else b
 
-    def put(i: int, value: int) -> None:
-        i += size
-        tree[i] = value
-        while i > 1:
-            i >>= 1
-            a, b = tree[2 * i], tree[2 * i + 1]
-            low = a if a < b else b
-            if tree[i] == low:
-                return
-            tree[i] = low
-
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     while (low := tree[1]) != INFINITY:
         i = low & mask
         gone = after[i]
         k = after[gone]
-        sym[i], sym[gone] = by_rank[low >> bits], -1
+        sym[i] = new = by_rank[low >> bits]
+        sym[gone] = -1
         after[i] = k
-        if gone < n - 1:
-            put(gone, INFINITY)
-        right = None
+        x = y = z = size + i  # the leaves that change, left to right
         if k < n:
             before[k] = i
-            right = pairs.get((sym[i], sym[k]))
-        put(i, right[0] << bits | i if right else INFINITY)
+            found = get((new, sym[k]))
+            tree[y] = found[0] << bits | i if found else INFINITY
+            z = size + gone
+            tree[z] = INFINITY
+        else:
+            tree[y] = INFINITY
         h = before[i]
         if h >= 0:
-            left = pairs.get((sym[h], sym[i]))
-            put(h, left[0] << bits | h if left else INFINITY)
+            x = size + h
+            found = get((sym[h], new))
+            tree[x] = found[0] << bits | h if found else INFINITY
+        x, y, z = x >> 1, y >> 1, z >> 1
+        while z:  # their paths to the root, level by level
+            a, b = tree[2 * z], tree[2 * z + 1]
+            tree[z] = a if a < b else b
+            if y != z:
+                a, b = tree[2 * y], tree[2 * y + 1]
+                tree[y] = a if a < b else b
+            if x != y:
+                a, b = tree[2 * x], tree[2 * x + 1]
+                tree[x] = a if a < b else b
+            x, y, z = x >> 1, y >> 1, z >> 1
     return [s for s in sym if s >= 0]
 
 
@@ -164,7 +169,7 @@ class Codec:
         """Packed ids of a text without special tokens."""
         if not common.BEYOND_LATIN.search(text):  # fewer different runs; the normaliser lowers them all the same
             text = text.lower()
-        runs = text.split() if not any(x in text for x in _SEPARATORS) else _WHITE.split(text)
+        runs = text.split() if not any(x in text for x in _SEPARATORS) else [r for r in _WHITE.split(text) if r]
         return self.known.joined(runs, lambda new: [self.run_ids(r) for r in new])
 
     def encode(self, text: str | None) -> bytes:
@@ -177,15 +182,19 @@ class Codec:
         return b"".join(np.array([self.special[p]], "<i4").tobytes() if i % 2 else self.plain_ids(p) for i, p in enumerate(parts))
 
     def decode(self, ids: list[int]) -> str:
-        """The tokens of the ids, joined by one space; ids outside the vocabulary are left out."""
+        return self.decode_all(pa.array([ids], pa.list_(pa.int32())))[0].as_py()
+
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """Of each list, the tokens of its ids, joined by one space (null: empty); ids outside the vocabulary are left out."""
         if not self.plain_decoder:
             raise ValueError(_DECODABLE)
-        tokens = self.tokens
-        try:
-            found = list(map(tokens.__getitem__, ids))
-        except IndexError:
-            found = [tokens[i] for i in ids if i < len(tokens)]
-        return " ".join(found)
+        flat, ends = ids.values, ids.offsets.to_numpy()
+        inside = pc.fill_null(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(self.tokens))), False)
+        known = inside.to_numpy(zero_copy_only=False)
+        if not known.all():
+            flat, ends = flat.filter(inside), np.concatenate([[0], np.cumsum(known)])[ends].astype(np.int32)
+        tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(self.tokens, pa.string()).take(flat))
+        return pc.fill_null(pc.if_else(ids.is_valid(), pc.binary_join(tokens, " "), ""), "")
 
 
 @functools.lru_cache(maxsize=4)
@@ -217,7 +226,7 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded"
         c = codec(tokenizer)
 
         def batch(b: pa.RecordBatch) -> list:
-            return [pa.array([c.decode(x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else []) for x in common.column(b, ids)], pa.string())]
+            return [c.decode_all(common.column(b, ids))]
 
         return batch
 

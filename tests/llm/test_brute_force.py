@@ -69,6 +69,23 @@ def test_bpe_odd_texts():
         assert c.decode(ids) == t.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_white_space_at_the_ends(spark):
+    """Separators that only some libraries take for white space, with others before, between and behind them."""
+    t = library()
+    parts = ["", " ", "\n", "\t\r", "\u00a0", "\u2003", "\x85", "\x0b", "\x0c", "a", "b1!"]
+    texts = [x + s + y for s in "\x1c\x1d\x1e\x1f" for x in parts for y in parts] + [s * 2 + " " + s for s in "\x1c\x1f \x85"]
+    rows = bpe.encode_decode(spark.createDataFrame([(x,) for x in texts], "text string"), bpe.word_bpe()).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r.ids == t.encode(r.text, add_special_tokens=False).ids and r.decoded == t.decode(r.ids, skip_special_tokens=False)
+
+
+def test_decoding_of_odd_ids(spark):
+    c = bpe.codec(bpe.word_bpe())
+    df = spark.createDataFrame([([1, 2],), (None,), ([],), ([10**6, 5, -1],)], "ids array<int>")
+    assert [r.decoded for r in bpe.decode(df, bpe.word_bpe()).collect()] == [f"{c.tokens[1]} {c.tokens[2]}", "", "", c.tokens[5]]
+
+
 def test_segment_tree_merges_leftmost_lowest_rank():
     rnd = random.Random(1)
     for _ in range(300):
