@@ -77,6 +77,12 @@ class Remembered:
     def __init__(self, size: int, stops: str = ""):
         self.size, self.stops, self.new, self.old = size, stops, {}, {}
 
+    def prepare(self, texts: list[list[str]], encode: Callable[[list[str]], list[bytes]]) -> None:
+        """Learn the words of several texts at once, so that ``joined`` finds them."""
+        if len(self.new) > self.size:
+            self.old, self.new = self.new, {}
+        self._learn(set().union(*texts).difference(self.new), encode)
+
     def joined(self, words: list[str], encode: Callable[[list[str]], list[bytes]]) -> bytes:
         """The words' ids in turn; ``encode`` gives those of words not remembered."""
         try:

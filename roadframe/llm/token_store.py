@@ -52,6 +52,8 @@ VERSION = 1
 LEVEL = 3
 #: Words that a worker process remembers, twice.
 REMEMBERED_WORDS = 600_000
+#: Runs in one call of the library, characters of texts whose new runs are looked up together, bytes of a shard read at once.
+RUNS, GROUP_CHARS, READ_BYTES = 20_000, 1 << 20, 4 << 20
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
@@ -77,16 +79,29 @@ class LibraryEncoder:
 
     def __call__(self, text: str | None) -> bytes:
         """Packed little-endian unsigned 32-bit ids."""
+        return self.many([text])[0]
+
+    def runs(self, text: str | None) -> list[str] | None:
+        """The text's runs; None where split() takes characters for white space that the tokenizer does not."""
         if not text:
-            return b""
-        if any(x in text for x in _SEPARATORS):  # white space for split() only
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return []
+        if any(x in text for x in _SEPARATORS):
+            return None
         if self.lowers and not any(x in text for x in self.special) and not common.BEYOND_LATIN.search(text):
             text = text.lower()  # fewer different runs; the tokenizer lowers them all the same
-        return self.known.joined(text.split(), self.run_ids)
+        return text.split()
+
+    def many(self, texts: list[str | None]) -> list[bytes]:
+        """Packed ids of each text; the library is called once for the runs that are new in all of them."""
+        runs = [self.runs(t) for t in texts]
+        self.known.prepare([r for r in runs if r], self.run_ids)
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if r is None else self.known.joined(r, self.run_ids)
+                for t, r in zip(texts, runs, strict=True)]
 
     def run_ids(self, runs: list[str]) -> list[bytes]:
-        """Packed ids of each run: one call over all, each id given to the run in which its characters begin."""
+        """Packed ids of each run: one call over many, each id given to the run in which its characters begin."""
+        if len(runs) > RUNS:
+            return [x for lo in range(0, len(runs), RUNS) for x in self.run_ids(runs[lo : lo + RUNS])]
         found = self.tokenizer.encode(" ".join(runs), add_special_tokens=False)
         first = np.cumsum([0, *(len(r) + 1 for r in runs[:-1])])
         owner = np.searchsorted(first, np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids)), side="right") - 1
@@ -126,6 +141,19 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
 
+def _encoded(encode: Callable, texts: pa.Array) -> Iterator[bytes]:
+    """Packed ids of each text, of encoders that can in groups of texts of bounded size."""
+    many = getattr(encode, "many", None) or (lambda group: [encode(t) for t in group])
+    group, size = [], 0
+    for t in texts:
+        group.append(t.as_py())
+        size += len(group[-1] or "")
+        if size >= GROUP_CHARS:
+            yield from many(group)
+            group, size = [], 0
+    yield from many(group)
+
+
 MANIFEST = "shard string, first_key long, last_key long, documents long, ids long, bytes long"
 
 
@@ -157,8 +185,8 @@ def write(df: DataFrame, folder: str, encoder: Callable[[], Callable], key: str
                 out = files.Committed(folder, name)
                 out.write(struct.pack(HEAD, b"TOKZ", VERSION, id_bytes, digest))
                 at = struct.calcsize(HEAD)
-            for k, t in zip(keys, texts, strict=True):
-                ids = np.frombuffer(encode(t.as_py()) + tail, "<u4")
+            for k, packed in zip(keys, _encoded(encode, texts), strict=True):
+                ids = np.frombuffer(packed + tail, "<u4")
                 if int(ids.max()) >= limit:
                     raise ValueError(f"id {ids.max()} needs more than {id_bytes} bytes")
                 frame = compress.compress(ids.astype(f"<u{id_bytes}").tobytes())
@@ -208,7 +236,23 @@ class Shard:
     def get(self, i: int) -> np.ndarray:
         """Ids of the i-th document of the shard."""
         e = self.index[i]
-        raw = self.decompress(self.file.read_at(int(e["size"]), int(e["offset"])), max_output_size=int(e["ids"]) * self.id_bytes)
+        return self._ids(e, self.file.read_at(int(e["size"]), int(e["offset"])))
+
+    def some(self, lo: int, hi: int) -> list[np.ndarray]:
+        """Ids of the documents lo to hi - 1, whose frames stand one after the other: read in pieces of bounded size."""
+        out, index = [], self.index[lo:hi]
+        ends = (index["offset"] + index["size"]).astype("i8")
+        at = 0
+        while at < len(index):
+            start = int(index["offset"][at])
+            stop = max(at + 1, int(np.searchsorted(ends, start + READ_BYTES, side="right")))
+            data = memoryview(self.file.read_at(int(ends[stop - 1]) - start, start))
+            out += [self._ids(e, data[int(e["offset"]) - start : int(e["offset"]) - start + int(e["size"])]) for e in index[at:stop]]
+            at = stop
+        return out
+
+    def _ids(self, e: np.void, frame: bytes) -> np.ndarray:
+        raw = self.decompress(frame, max_output_size=int(e["ids"]) * self.id_bytes)
         ids = np.frombuffer(raw, f"<u{self.id_bytes}").astype("<u4")
         if len(ids) != e["ids"]:
             raise ValueError("a frame has another length than its index says")
@@ -230,7 +274,7 @@ def read(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
                 starts = start + np.cumsum(shard.index["ids"].astype("i8")) - shard.index["ids"].astype("i8")
                 for lo in range(0, len(shard), common.BATCH_ROWS):
                     rows = range(lo, min(lo + common.BATCH_ROWS, len(shard)))
-                    ids = [shard.get(i) for i in rows]
+                    ids = shard.some(lo, rows.stop)
                     keys = pa.array(shard.index["key"][lo : rows.stop].astype("i8"), mask=shard.index["null"][lo : rows.stop].astype(bool))
                     out = [keys, pa.array(starts[lo : rows.stop]), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64())]
                     if with_ids:
