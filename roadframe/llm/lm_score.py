@@ -58,7 +58,7 @@ RARE, FOLLOWS = 1 << 63, START + 1
 CONTEXT = FOLLOWS + START
 MASS = 50.0
 #: Tokens and documents of a chunk, entries of a block, Arrow rows of a batch, tokens for which there is a bucket.
-CHUNK_TOKENS, CHUNK_DOCS, BLOCK_ENTRIES, BATCH_ROWS, BUCKET_TOKENS = 4_000_000, 65_000, 16_384, 250, 8_000_000
+CHUNK_TOKENS, CHUNK_DOCS, BLOCK_ENTRIES, BATCH_ROWS, BUCKET_TOKENS = 2_000_000, 65_000, 16_384, 250, 8_000_000
 #: Distinct words that a task counts before it passes its counts on.
 COUNTED_WORDS = 500_000
 #: Target ids up to which they are broadcast (8 bytes each).
