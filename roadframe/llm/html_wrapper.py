@@ -11,19 +11,23 @@ that never differ stay constants. A level that stays irregular beyond
 ``LOOSE`` entries becomes a repeated group of optional ones, so a wrapper's size
 is bounded by its labels.
 
-The wrapper says which elements hold the article: the outermost ``article`` or
-``main`` that holds slots, or else the innermost elements with all of the
-variable text outside links and page furniture: from the outermost, one goes
-down only while one child holds it all. Furniture is told by tags, roles and
-whole names; a form, header, aside or so named element that holds the only
-article of a host, or most of its variable text, is none. The wrapper also tells
-constant texts inside them (template, not article) where ``CONSTANT_PAGES`` or
-more pages of different content agree.
+The wrapper says which elements hold the article: every outermost ``article`` or
+``main`` that holds slots, of whatever size, or else the innermost elements with
+all of the variable text outside links and page furniture: from the outermost,
+one goes down only while one child holds it all. Furniture is told by tags, roles
+and whole names; a form, header, aside or so named element that holds the only
+article of a host, or most of its variable text, is none. Reader comments are
+told by whole names, by their role and by schema.org's item types, ``article``
+elements among them. The headings in an article's header, at any depth, are its
+titles. The wrapper also tells constant texts (template, not article) where
+``CONSTANT_PAGES`` or more pages of different content agree; inside ``article``
+and ``main`` only those of an element that holds nothing variable and is neither
+prose (paragraphs, quotations, list items, cells, headings) nor inside of it.
 
 Every page of a host takes part. Each task folds its pages into one partial
-wrapper for each host, and partial wrappers are aligned with each other, so no
-html is shuffled and a host with a third of all pages costs a row for each
-task. Decisions (a few paths for each host) are broadcast if counted to be few,
+wrapper for each host, and partial wrappers are aligned with each other on two
+levels, so no html is shuffled and a host with a third of all pages costs a row
+for each task, merged by ``SALTS`` tasks before one merges theirs. Decisions (a few paths for each host) are broadcast if counted to be few,
 else joined with salted hosts.
 
 Defined cases: null and empty pages have empty text; a null or malformed url is
@@ -88,7 +92,8 @@ WORDS = {
 }
 
 # Words that a furniture name may have besides, furniture that is never an article's frame, and what its labels begin with.
-PLACES = {"area", "bar", "block", "bottom", "box", "container", "global", "inner", "item", "items", "left", "link", "links", "list", "main", "outer", "page", "post", "posts", "primary", "right", "secondary", "section", "site", "slot", "top", "wrap", "wrapper"}
+PLACES = {"area", "bar", "block", "body", "bottom", "box", "container", "content", "global", "inner", "item", "items", "left", "link", "links", "list", "main", "outer", "page", "post", "posts", "primary", "right", "secondary", "section", "site", "slot", "thread", "top", "wrap", "wrapper"}
+COMMENTS = {"comment", "comments", "commentlist", "disqus", "replies", "reply", "respond", "responses"}
 NEVER = {"nav", "footer", "button", "select", "option", "menu", "dialog", "head", "title", "search", "input"}
 SHUT = "!"
 
@@ -106,10 +111,16 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
-def furniture_name(name: str) -> bool:
-    """Whether a whole class or id names furniture: words of it, and of place and box, only."""
+def furniture_name(name: str, words: set[str] = WORDS) -> bool:
+    """Whether a whole class or id names furniture: some of ``words``, and else only words of furniture, place and box."""
     parts = [p for p in re.split(r"[-_:.\d]+", name) if p]
-    return any(p in WORDS for p in parts) and all(p in WORDS or p in PLACES for p in parts)
+    return any(p in words for p in parts) and all(p in WORDS or p in PLACES for p in parts)
+
+
+def reader_comment(found: dict[str, str], names: list[str]) -> bool:
+    """Whether an element's attributes say that it holds reader comments."""
+    kinds = {k.rstrip("/").rsplit("/", 1)[-1].lower() for k in found.get("itemtype", "").split()}
+    return found.get("role", "").lower() == "comment" or "comment" in found.get("itemprop", "").lower().split() or not kinds.isdisjoint({"comment", "usercomments"}) or any(furniture_name(n, COMMENTS) for n in names)
 
 
 class Element:
@@ -120,12 +131,13 @@ class Element:
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
         names = re.findall(r"[^\s]+", f"{found.get('class', '')} {found.get('id', '')}".lower())
         self.label = ".".join([tag, *(re.sub(r"\d+", "0", n).replace("/", "") for n in names)])
+        comment = tag not in ("html", "body", "main") and reader_comment(found, names)
         words = any(furniture_name(n) for n in names) and tag not in ("html", "body", "article", "main")
         hidden = "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", ""))
         role = found.get("role", "").lower()
-        self.furniture = bool(tag in FURNITURE or hidden or role in ROLES or words)
+        self.furniture = bool(tag in FURNITURE or hidden or role in ROLES or words or comment)
         # furniture that may be the frame of an article
-        self.inside = self.furniture and not hidden and tag not in NEVER and (role == "form" or role not in ROLES)
+        self.inside = self.furniture and not hidden and not comment and tag not in NEVER and (role == "form" or role not in ROLES)
         if self.furniture:
             self.label = SHUT + self.label
 
@@ -400,23 +412,29 @@ def decide(wrapper: list) -> dict:
             articles = [(path, entry)]
         else:  # all that holds variable text, and headings
             articles = [(f"{path}/{c[0]}", c) for c in inner(entry[2]) if weight(c) or tag_of(c) in HEADING]
-    else:  # an article of comments or teasers is small beside the main one
-        most = max(weight(e) for _, e in articles)
-        articles = [(p, e) for p, e in articles if weight(e) >= most / 4]
     constants: list[list[str]] = []
 
-    def constant(entry: list, path: str) -> None:
+    def constant(entry: list, path: str, article: bool) -> None:
+        if article and tag_of(entry) in TEXT_BLOCK:
+            return
         for c in inner(entry[2]):
             if c[0] != TEXT:
-                constant(c, f"{path}/{c[0]}")
-            elif c[2] is not None and len(c[5]) >= CONSTANT_PAGES:
+                constant(c, f"{path}/{c[0]}", article)
+            elif c[2] is not None and len(c[5]) >= CONSTANT_PAGES and not (article and weight(entry)):
                 constants.append([path, c[2]])
 
     for p, e in articles:
-        constant(e, p)
+        constant(e, p, tag_of(e) in ("article", "main"))
     return {"roots": sorted({p for p, _ in articles}), "constants": constants, "opened": opened}
 
 
+def titles(e: Element, path: str, constants: set[tuple[str, str]], opened: set[str]) -> Iterator[str]:
+    """The headings of an article's header, at any depth outside other furniture."""
+    for c in e.children:
+        if isinstance(c, Element) and not c.furniture:
+            yield from (blocks if c.tag in HEADING else titles)(c, f"{path}/{c.label}", constants, opened)
+
+
 def blocks(e: Element, path: str, constants: set[tuple[str, str]], opened: set[str]) -> Iterator[str]:
     """Text blocks of an element in page order, without furniture and template texts."""
     texts: list[str] = []
@@ -431,8 +449,8 @@ def blocks(e: Element, path: str, constants: set[tuple[str, str]], opened: set[s
             yield from flush()
             if not c.furniture or f"{path}/{c.label}" in opened:
                 yield from blocks(c, f"{path}/{c.label}", constants, opened)
-            elif c.tag == "header":  # an article's own title
-                yield from (" ".join("".join(t for t, _ in h.children if isinstance(t, str)).split()) for h in c.children if isinstance(h, Element) and h.tag in HEADING and all(isinstance(x, tuple) for x in h.children))
+            elif c.tag == "header":
+                yield from titles(c, f"{path}/{c.label}", constants, opened)
         else:
             texts.append(c[0])
     yield from flush()
@@ -496,8 +514,10 @@ def wrappers(pages: DataFrame) -> DataFrame:
         if now:
             yield batch(now)
 
-    parts = pages.mapInArrow(partial, "host string, wrapper string")
-    return parts.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(whole, "host string, wrapper string")
+    found = pages.mapInArrow(partial, "host string, wrapper string").withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    for keys in (["host", "salt"], ["host"]):
+        found = found.repartition(*keys).select("host", "wrapper").sortWithinPartitions("host", "wrapper").mapInArrow(whole, "host string, wrapper string")
+    return found
 
 
 def decisions(wrapped: DataFrame) -> DataFrame:

@@ -110,6 +110,31 @@ def test_furniture_words_and_frames():
     assert main_texts(["<body><svg width='1'/><p>one</p><p>two</p><svg><text>no</text></svg></body>"]) == ["one\ntwo"]
 
 
+def test_nothing_else_of_the_article_is_dropped():
+    motto = "<blockquote>our motto</blockquote>"
+    assert main_texts([f"<article>Dear reader<h1>t{k}</h1>{motto}<p>x{k}</p><ul><li><div>one</div></ul></article>" for k in range(6)]) == [f"Dear reader\nt{k}\nour motto\nx{k}\none" for k in range(6)]
+    pages = [f"<body><article><h1>t{k}</h1><p>{'long text ' * 40}{k}</p></article><article><p>update {k} is news</p></article></body>" for k in range(6)]
+    assert main_texts(pages) == [f"t{k}\n{'long text ' * 40}{k}\nupdate {k} is news" for k in range(6)]
+    header = "<header><nav><h2>menu</h2></nav><div><div class=x><h1>title {}</h1></div><span>by us</span></div></header>"
+    assert main_texts([f"<body><header><div><h1>Site</h1></div></header><article>{header.format(k)}<p>x{k}</p></article></body>" for k in range(6)]) == [f"title {k}\nx{k}" for k in range(6)]
+
+
+def test_reader_comments():
+    marks = ("article class=comment", "article class='comment-body'", "div id=disqus_thread", "div role=comment", "div itemprop='comment'", "li itemscope itemtype='https://schema.org/Comment'", "section class='comments'")
+    for m in marks:
+        said = f"<{m}><p>I say {{k}} and more and more</p></{m.split()[0]}>"
+        for page in ("<article><h1>t{k}</h1><p>x{k}</p>" + said + "</article>", "<article><h1>t{k}</h1><p>x{k}</p></article>" + said, "<div><h1>t{k}</h1><p>x{k}</p></div>" + said):
+            assert main_texts([f"<body>{page}</body>".replace("{k}", str(k)) for k in range(6)]) == [f"t{k}\nx{k}" for k in range(6)], (m, page)
+
+
+def test_hot_host_by_layout(spark):
+    pages = [(i, "http://a/x", f"<body><nav>m</nav><article><h1>t{i}</h1>{'<p>p' + str(i) + '</p>' * (i % 3)}{'<div>by us</div>' if i % 2 else ''}</article><p>foot</p></body>") for i in range(120)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = [sorted((r.page_id, r.text) for r in html_wrapper.main_text(df.repartition(n)).collect()) for n in (1, 7, 40)]
+    assert found[0] == found[1] == found[2] and all(t for _, t in found[0])
+    assert html_wrapper.wrappers(df.repartition(40).selectExpr("'a' AS host", "html AS page")).count() == 1
+
+
 def test_siblings_with_variable_text_are_kept():
     pages = [f"<body><div class=top><a href=x>all {k}</a></div><div class=lead>lead {k}</div><div class=text><p>{'long ' * 20}{k}</p></div></body>" for k in range(6)]
     assert main_texts(pages) == [f"lead {k}\n{'long ' * 20}{k}" for k in range(6)]
