@@ -63,8 +63,8 @@ def column(b: pa.RecordBatch, name: str) -> pa.Array:
     return b.column(b.schema.get_field_index(name))
 
 
-#: Characters beyond those whose lower case and normal form every Unicode version gives alike.
-BEYOND_LATIN = re.compile("[^\x00-\u017f]")
+#: Characters beyond those whose lower case, one letter, every Unicode version gives alike (U+0130 becomes a letter and a mark).
+BEYOND_LATIN = re.compile("[^\x00-\u012f\u0131-\u017f]")
 
 
 class Remembered:

@@ -110,6 +110,15 @@ def test_furniture_words_and_frames():
     assert main_texts(["<body><svg width='1'/><p>one</p><p>two</p><svg><text>no</text></svg></body>"]) == ["one\ntwo"]
 
 
+def test_dotted_capital_i_before_a_stop():
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(bpe.word_bpe())
+    texts = ["ANKARA B\u0130R\u0130NC\u0130S\u0130.", "\u0130,", "a \u0130. \u0130", "i\u0307. \u0131. \u0130s."]
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [list(memoryview(x).cast("I")) for x in token_store.LibraryEncoder(bpe.word_bpe()).many(texts)] == expected
+    assert [list(memoryview(bytes(bpe.codec(bpe.word_bpe()).encode(t))).cast("I")) for t in texts] == expected
+
+
 def test_nothing_else_of_the_article_is_dropped():
     motto = "<blockquote>our motto</blockquote>"
     assert main_texts([f"<article>Dear reader<h1>t{k}</h1>{motto}<p>x{k}</p><ul><li><div>one</div></ul></article>" for k in range(6)]) == [f"Dear reader\nt{k}\nour motto\nx{k}\none" for k in range(6)]
