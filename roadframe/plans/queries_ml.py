@@ -449,6 +449,41 @@ def top_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                    F.col("top.feature").alias("top_features"))
 
 
+@register("boosted_attributions", """
+SELECT 'documents' AS name, count(*) AS n FROM documents
+UNION ALL SELECT 'sums that miss the raw prediction', 0 UNION ALL SELECT 'probabilities that are not of the sum', 0
+UNION ALL SELECT 'base values beside the first', 0 UNION ALL SELECT 'contributions of features without a split', 0
+""")
+def boosted_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path contributions of boosted trees with categorical splits (language, source) over all documents, as counts of rows that break their sums."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from roadframe.operators.explain import margin_contributions
+    path = scratch_path(spark, "boosted-documents")
+    document_rows(spark, sf_dir).fillna("", ["lang", "source"]).fillna(0, ["n_chars", "log_chars"]).write.parquet(path)
+    rows = spark.read.parquet(path)
+    nominal = ["lang", "source"]
+    kinds = rows.agg(*[F.count_distinct(c) for c in nominal]).first()
+    stages = [StringIndexer(inputCols=nominal, outputCols=[f"{c}_ix" for c in nominal], handleInvalid="keep"),
+              VectorAssembler(inputCols=["n_chars", "log_chars", *(f"{c}_ix" for c in nominal)], outputCol="features"),
+              GBTClassifier(featuresCol="features", labelCol="label", maxIter=20, maxDepth=4, maxBins=max(32, *(k + 1 for k in kinds)), seed=42)]
+    model = Pipeline(stages=stages).fit(rows.where("label IS NOT NULL"))
+    boosted = model.stages[-1]
+    scored = model.transform(rows).select("doc_id", "features", vector_to_array("rawPrediction")[1].alias("margin"), vector_to_array("probability")[1].alias("p1"))
+    found = margin_contributions(scored, boosted, keep=["doc_id", "margin", "p1"])
+    unused = [i for i, v in enumerate(boosted.featureImportances.toArray()) if v == 0]
+    out = found.agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(~(F.abs(F.col("base") + F.aggregate("contrib", F.lit(0.0), lambda a, x: a + x) - F.col("margin")) <= 1e-9)).alias("sums that miss the raw prediction"),
+        F.count_if(~(F.abs(1 / (1 + F.exp(-2 * F.col("score"))) - F.col("p1")) <= 1e-9)).alias("probabilities that are not of the sum"),
+        F.coalesce(F.greatest(F.count_distinct("base") - 1, F.lit(0)), F.lit(0)).alias("base values beside the first"),
+        F.count_if(sum((F.col("contrib")[i] != 0).cast("int") for i in unused) > 0 if unused else F.lit(False)).alias("contributions of features without a split"))
+    return out.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("long").alias("n")) for c in out.columns])))
+
+
 @register("batch_scoring")
 def batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows completed with dictionary defaults, domain-checked,
