@@ -9,7 +9,7 @@ codegen stage) instead of one replace per label.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadframe.functions.cleaning import canonical_code
@@ -50,6 +50,48 @@ def recode_columns(df: DataFrame, rules: dict[str, dict], unknown: str | None =
     return df.select(*exprs)
 
 
+RULE_ROWS = "column string, position int, code string, label string, unknown boolean"
+
+
+def rule_table(spark: SparkSession, rules: dict[str, dict]) -> DataFrame:
+    """Rules as rows: one for each code, with its label and the label's place in the rule (unknown codes come last)."""
+    rows = []
+    for column, spec in rules.items():
+        labels = list(spec.get("modalities", {}).items())
+        rows += [(column, i, str(c), str(label), False) for i, (label, codes) in enumerate(labels) for c in codes]
+        rows += [(column, len(labels), str(c), UNKNOWN, True) for c in spec.get("to_nan", [])]
+    return spark.createDataFrame(rows, RULE_ROWS)
+
+
+def order_dependent(table: DataFrame) -> DataFrame:
+    """(column, label, later): labels that are codes of a later label, for which one pass is not a replacement label by label."""
+    known = table.where(~F.col("unknown"))
+    produced = known.select("column", "label", "position").distinct()
+    codes = known.select(F.col("column").alias("__c"), F.col("code"), F.col("label").alias("later"), F.col("position").alias("__p"))
+    return produced.join(codes, (F.col("column") == F.col("__c")) & (F.col("label") == F.col("code")) & (F.col("__p") > F.col("position"))) \
+        .select("column", "label", "later").distinct()
+
+
+def recode_by_table(df: DataFrame, table: DataFrame, columns: list[str], integers: list[str] | None = None) -> DataFrame:
+    """``recode_columns`` for rule sets too large for expressions: one lookup join a column, whose size Spark weighs.
+
+    ``table`` has ``RULE_ROWS``; a code that is listed twice gets its first label; ``integers`` become longs.
+    """
+    bad = order_dependent(table.where(F.col("column").isin(columns))).limit(10).collect()
+    if bad:
+        raise ValueError(f"rules are order-dependent, cannot compile in one pass: {[tuple(r) for r in bad]}")
+    order, types = df.columns, {f.name: f.dataType for f in df.schema.fields}
+    for i, c in enumerate(columns):
+        if c not in types:
+            continue
+        lookup = table.where(F.col("column") == c).groupBy(F.col("code").alias(f"__code_{i}")).agg(F.min_by("label", "position").alias(f"__label_{i}"))
+        text = canonical_code(F.col(f"`{c}`"), types[c])
+        value = F.coalesce(F.col(f"__label_{i}"), text)
+        df = df.join(lookup, text == F.col(f"__code_{i}"), "left") \
+            .select([(value.try_cast("long") if c in (integers or []) else value).alias(n) if n == c else F.col(f"`{n}`") for n in order])
+    return df
+
+
 def collapse_target(df: DataFrame, col: str = "grav", collapse: dict | None = None,
                     drop_value=-1, shift: int = 1) -> DataFrame:
     """Merge classes (e.g. 4 -> 1, 3 -> 2), drop a class, shift to start at 0.

@@ -33,6 +33,7 @@ def _load_all() -> None:
     from roadframe.plans import full_etl  # noqa: F401
     from roadframe.plans import queries_more  # noqa: F401
     from roadframe.plans import queries_training  # noqa: F401
+    from roadframe.plans import queries_documents  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
