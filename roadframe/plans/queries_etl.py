@@ -262,12 +262,13 @@ UNION ALL SELECT 'c_acctbal', CAST(median(c_acctbal) AS DOUBLE) FROM customer
 """)
 def column_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: exact interpolated medians by bracket refinement (no global sort)."""
-    from roadframe.operators.stats import exact_medians
+    from functools import reduce
+
+    from roadframe.operators.stats import stack, stacked_medians
     from roadframe.session import read_table
-    rows = []
-    for t, cols in (("orders", ["o_totalprice"]), ("lineitem", ["l_extendedprice", "l_quantity"]),
-                    ("customer", ["c_acctbal"])):
-        rows += list(exact_medians(read_table(spark, sf_dir, t), cols).items())
+    columns = {"orders": ["o_totalprice"], "lineitem": ["l_extendedprice", "l_quantity"], "customer": ["c_acctbal"]}
+    stacked = reduce(DataFrame.unionAll, [stack(read_table(spark, sf_dir, t), cols) for t, cols in columns.items()])
+    rows = list(stacked_medians(stacked, [c for cols in columns.values() for c in cols]).items())
     # scalar results of distributed aggregates (4 rows, one per column)
     return spark.createDataFrame(rows, "column_name string, median double")
 

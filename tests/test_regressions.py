@@ -21,8 +21,8 @@ def test_hot_value_never_makes_a_large_fetch(spark, monkeypatch):
     values = [float(i) / 7 for i in range(20)] + [5.0] * 40_000 + [6.0 + i for i in range(20)]
     df = spark.createDataFrame([(v,) for v in values], "x double")
     fetched = []
-    collected = stats._collected
-    monkeypatch.setattr(stats, "_collected", lambda t, a, small, m: (fetched.extend(a[i].rows for i in small), collected(t, a, small, m))[1])
+    one_pass = stats._pass
+    monkeypatch.setattr(stats, "_pass", lambda d, cuts, g, m, r: (fetched.append(sum(c.rows for c in cuts)), one_pass(d, cuts, g, m, r))[1])
     ranks = [0, 10, 19, 20, 30_000, 40_019, 40_020, 40_039]
     got = stats.kth_smallest(df, "x", ranks, buckets=8, max_collect=50)
     assert [got[None, k] for k in ranks] == [sorted(values)[k] for k in ranks]
@@ -40,6 +40,18 @@ def test_order_statistics_of_hashes_and_groups(spark, uniform):
     assert got == {(g, k): by[g][k] for g, ks in ranks.items() for k in ks}
 
 
+def test_cuts_of_hashes_come_with_counts(spark):
+    # one hash holds a third of a group, so that it lies outside the window that even hashes would have
+    rng = np.random.default_rng(1)
+    rows = [(g, int(v)) for g in (None, "a") for v in rng.integers(-2**63, 2**63 - 1, 3000)] + [("a", -2**63 + 5)] * 1500
+    df = spark.createDataFrame(rows, "g string, x long")
+    by = {g: sorted(x for h, x in rows if h == g) for g in (None, "a")}
+    ranks = {g: [0, 700, len(v) // 2, len(v) - 1] for g, v in by.items()}
+    for limit in (20_000, 60):
+        got = stats.kth_with_counts(df, "x", ranks, "g", 16, limit, hash_sizes={g: len(v) for g, v in by.items()})
+        assert got == {(g, k): (by[g][k], sum(x < by[g][k] for x in by[g]), by[g].count(by[g][k])) for g, ks in ranks.items() for k in ks}
+
+
 def test_medians_by_value(spark):
     df = spark.createDataFrame([(1, 5.0), (1, None), (3, 7.0), (None, 9.0)], "a long, b double")
     assert stats.medians_by_value(df, ["a", "b"]) == {"a": 1.0, "b": 7.0}
