@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ByteType, DecimalType, DoubleType, FloatType, IntegerType, LongType,
@@ -30,8 +30,8 @@ def conform(df: DataFrame, schema: StructType) -> tuple[DataFrame, list[str]]:
     """Keep the schema's columns in its order, add missing ones as NULL, try-cast each.
 
     Returns the conformed frame and the list of columns whose cast can lose
-    values (source type differs from target); use ``cast_losses`` to count
-    how many values actually became NULL.
+    values (source type differs from target); ``loss_report`` counts
+    the values that actually became NULL, by file and column.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     exprs, changed = [], []
@@ -47,17 +47,37 @@ def conform(df: DataFrame, schema: StructType) -> tuple[DataFrame, list[str]]:
     return df.select(*exprs), changed
 
 
-def cast_losses(source: DataFrame, schema: StructType, cols: list[str]) -> DataFrame:
-    """Per column: values that were non-NULL but failed the cast -> (column, n_lost)."""
-    if not cols:
-        return source.sparkSession.createDataFrame([], "column string, n_lost long")
-    t = {f.name: f.dataType for f in schema.fields}
-    row = source.agg(*[
-        F.sum((F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(t[c]).isNull()).cast("long")).alias(c)
-        for c in cols])
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias("n_lost")) for c in cols
-    ])).alias("s")).select("s.*")
+def loss_report(df: DataFrame, schema: StructType, file_col: str, corrupt_col: str | None = None,
+                missing_too: bool = False) -> DataFrame:
+    """What ``conform`` loses, per file and column, in one pass: (file, column, reason, n_lost), positive counts only.
+
+    ``cast``: values of ``column`` that are not NULL and fail the cast. ``malformed`` (column NULL): rows whose line
+    stands in ``corrupt_col``. ``dropped``: values of a column that the schema does not have. ``missing_too`` adds
+    ``missing``: rows of a file in which a column of the schema is all NULL (the file may lack it).
+    The result has one row per file and affected column; nothing row-level leaves the aggregate.
+    """
+    types = {f.name: f.dataType for f in schema.fields}
+    kept = [f for f in df.schema.fields if f.name not in (file_col, corrupt_col)]
+    checks: list[tuple[str | None, str, Column]] = []
+    for f in kept:
+        c = F.col(f"`{f.name}`")
+        if f.name not in types:
+            checks.append((f.name, "dropped", F.count(c)))
+            continue
+        if types[f.name] != f.dataType:
+            checks.append((f.name, "cast", F.count_if(c.isNotNull() & c.try_cast(types[f.name]).isNull())))
+        if missing_too:
+            checks.append((f.name, "missing", F.when(F.count(c) == 0, F.count(F.lit(1))).otherwise(F.lit(0))))
+    if corrupt_col:
+        checks.append((None, "malformed", F.count(F.col(f"`{corrupt_col}`"))))
+    if missing_too:
+        checks += [(n, "missing", F.count(F.lit(1))) for n in types if n not in {f.name for f in kept}]
+    if not checks:
+        return df.sparkSession.createDataFrame([], "file string, column string, reason string, n_lost long")
+    counted = df.groupBy(F.col(f"`{file_col}`").alias("file")).agg(*[e.cast("long").alias(f"n{i}") for i, (_, _, e) in enumerate(checks)])
+    return counted.select("file", F.inline(F.array(*[
+        F.struct(F.lit(c).cast("string").alias("column"), F.lit(reason).alias("reason"), F.col(f"n{i}").alias("n_lost"))
+        for i, (c, reason, _) in enumerate(checks)]))).filter(F.col("n_lost") > 0)
 
 
 def split_by_dtype(df: DataFrame) -> tuple[list[str], list[str]]:

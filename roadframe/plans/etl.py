@@ -69,7 +69,11 @@ def join_tables(usagers: DataFrame, vehicules: DataFrame, caracteristiques: Data
 
 def accident_features(usagers: DataFrame, vehicules: DataFrame, caracteristiques: DataFrame,
                       lieux: DataFrame, cfg: AccidentConfig) -> DataFrame:
-    """Per accident: distinct vehicles and users, and user rows of each vehicle class after all joins."""
+    """Per accident: distinct vehicles and users, and of each vehicle class the user rows after all joins.
+
+    Without ``compat``, of each class the distinct vehicles (G13): occupants of one vehicle are one, and
+    repeated accident and place rows count nothing.
+    """
     k, v, u = cfg.accident_key, cfg.vehicle_key, cfg.user_key
     users = usagers.select(*[c for c in (k, v, u) if c in usagers.columns])
     has_class = "catv" in vehicules.columns
@@ -83,6 +87,10 @@ def accident_features(usagers: DataFrame, vehicules: DataFrame, caracteristiques
     if u in rows.columns:
         distinct["nb_u"] = u
     classes = cfg.vehicle_classes if has_class else []
+    if not cfg.compat and classes:
+        table = group_table(rows, k, distinct)
+        of_class = group_table(rows.filter(F.col(v).isNotNull()).select(k, v, "catv").distinct(), k, None, "catv", classes)
+        return table.join(of_class, on=k, how="left").fillna(0, [f"count_{x}" for x in classes])
     table = group_table(rows, k, distinct, "catv", classes)
     times = F.lit(1)
     for i, other in enumerate((caracteristiques, lieux)):  # every row of the accident there repeats its users

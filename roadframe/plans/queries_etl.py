@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from roadframe import rules as R
@@ -29,12 +31,13 @@ _LIEUX_COLS = ["catr", "circ", "vosp", "prof", "plan", "surf", "infra", "situ",
 _RECODED = [c for c in _USER_COLS + _VEH_COLS + _CAR_COLS + _LIEUX_COLS if c in R.RECODE_RULES]
 
 
-def _user_table_sql() -> str:
+def _user_table_sql(compat: bool = True) -> str:
     y0, y1 = V.PROOF_YEARS[0], V.PROOF_YEARS[-1]
     rec = ",\n  ".join(f"{sql_recode(c, R.RECODE_RULES[c])} AS {c}" for c in _RECODED)
     keep = [c for c in _USER_COLS + _VEH_COLS + _CAR_COLS + _LIEUX_COLS if c not in _RECODED]
     classes = R.VEHICLE_CLASSES
-    cnt = ",\n  ".join(f"sum(CASE WHEN catv = '{x}' THEN 1 ELSE 0 END) AS count_{x}" for x in classes)
+    cnt = ",\n  ".join(f"sum(CASE WHEN catv = '{x}' THEN 1 ELSE 0 END) AS count_{x}" if compat
+                       else f"count(DISTINCT CASE WHEN catv = '{x}' THEN id_vehicule END) AS count_{x}" for x in classes)
     imply = ",\n  ".join(
         f"CAST(COALESCE(g.count_{x}, 0) - (CASE WHEN r.catv = '{x}' THEN 1 ELSE 0 END) > 0 AS INTEGER) AS imply_{x}"
         for x in classes)
@@ -77,13 +80,13 @@ f AS (
   {sql_clip('r.jour', 1, 31)} AS jour_c
   FROM r LEFT JOIN g ON r.Num_Acc = g.Num_Acc
 ),
-m AS (SELECT median(an_nais_c) AS m_an_nais, median(an_c) AS m_an, median(mois_c) AS m_mois FROM f),
+m AS (SELECT median(an_nais_c) AS m_an_nais, median(an_c) AS m_an, median(mois_c) AS m_mois, median(jour_c) AS m_jour FROM f),
 h AS (
   SELECT f.*,
     COALESCE(CAST(an_nais_c AS DOUBLE), m.m_an_nais) AS an_nais_f,
     COALESCE(CAST(an_c AS DOUBLE), m.m_an) AS an_f,
     COALESCE(CAST(mois_c AS DOUBLE), m.m_mois) AS mois_f,
-    COALESCE(CAST(jour_c AS DOUBLE), m.m_mois) AS jour_f
+    COALESCE(CAST(jour_c AS DOUBLE), m.{"m_mois" if compat else "m_jour"}) AS jour_f
   FROM f, m
 ),
 k AS (
@@ -94,7 +97,7 @@ k AS (
     CAST(an_raw - CAST(trunc(an_nais_f) AS BIGINT) AS BIGINT) AS age,
     {sql_clip('vma', None, R.VMA_CAP)} AS vma_c,
     TRY_CAST(split_part(hrmn, ':', 1) AS BIGINT) AS hr,
-    CAST(CASE WHEN TRY_CAST(lartpc AS DOUBLE) IS NULL THEN 1 WHEN abs(TRY_CAST(lartpc AS DOUBLE)) <> 0 THEN 1 ELSE 0 END
+    CAST(CASE WHEN TRY_CAST(lartpc AS DOUBLE) IS NULL THEN {int(compat)} WHEN abs(TRY_CAST(lartpc AS DOUBLE)) <> 0 THEN 1 ELSE 0 END
          AS BIGINT) AS tpc,
     {sql_pad('dep')} AS dep_key,
     CASE WHEN grav = 4 THEN 1 WHEN grav = 3 THEN 2 ELSE grav END AS grav_c,
@@ -123,6 +126,25 @@ def user_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                             t["regions"], PROOF_CFG)
 
 
+@register("user_feature_table_vehicles", _user_table_sql(compat=False))
+def user_feature_table_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature plan without the original's oddities: classes counted by vehicles, days filled with the days' median."""
+    t = accident_tables(spark, sf_dir)
+    return build_user_table(t["usagers"], t["vehicules"], t["caracteristiques"], t["lieux"],
+                            t["regions"], replace(PROOF_CFG, compat=False))
+
+
+@register("target_losses", f"""{V.duckdb_with_clause()},
+u AS (SELECT TRY_CAST(grav AS BIGINT) AS grav FROM usagers)
+SELECT 'null' AS reason, count(*) - count(grav) AS n FROM u
+UNION ALL SELECT 'code', count(*) FILTER (grav = -1) FROM u UNION ALL SELECT 'kept', count(*) FILTER (grav <> -1) FROM u
+""")
+def target_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Road users without a target, by reason."""
+    from roadframe.operators.profile import target_losses as losses
+    return losses(accident_tables(spark, sf_dir)["usagers"], "grav", [-1])
+
+
 # --------------------------------------------------------------------------
 # joins, lookups, unions, dedup, id completion
 # --------------------------------------------------------------------------

@@ -72,3 +72,45 @@ def csv_scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total"),
         F.sum((F.col("note") == "café fermé").cast("long")).alias("n_accented"),
         F.count("late_col").alias("n_late_col"), F.count_distinct("Num_Acc").alias("n_keys"))
+
+
+_LINE_COLUMNS = ["Accident_Id", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderdate"]
+
+
+def write_faulty_csvs(spark: SparkSession, sf_dir: str, years: list[int]) -> str:
+    """Orders as CSV lines per year; some lines end early or have a field too many, some prices and customers are no numbers."""
+    from roadframe.sources.csv_scan import yearly_path
+    base = scratch_path(spark, "faulty-csv")
+    o = read_table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    key, cust = F.col("o_orderkey"), F.when(F.col("o_orderkey") % 83 == 5, F.concat(F.lit("x"), F.col("o_custkey"))).otherwise(F.col("o_custkey").cast("string"))
+    price = F.when(F.col("o_custkey") % 50 == 3, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    for y in years:
+        sep = ";" if y % 2 else ","
+        line = F.when(key % 97 == 0, F.concat_ws(sep, key, cust)).otherwise(
+            F.concat_ws(sep, key, cust, price, "o_orderpriority", F.col("o_orderdate").cast("date"), *[F.when(key % 89 == 1, F.lit("more"))]))
+        # one column whose name is the header line, with a separator and a quote that no line holds
+        (o.filter(F.col("year") == y).select(line.alias(sep.join(_LINE_COLUMNS))).write.mode("overwrite").option("header", True)
+         .option("sep", "\u0001").option("quote", "\u0002").csv(yearly_path(base, "orders", y, CUTOVER)))
+    return base
+
+
+_LOSSES = {
+    "NULL, 'malformed'": "o_orderkey % 97 = 0 OR o_orderkey % 89 = 1",
+    "'o_custkey', 'cast'": "o_orderkey % 83 = 5",
+    "'o_totalprice', 'cast'": "o_custkey % 50 = 3 AND o_orderkey % 97 <> 0",
+    "'o_orderdate', 'dropped'": "o_orderkey % 97 <> 0",
+}
+
+
+@register("csv_loss_report", "\nUNION ALL ".join(f"""
+SELECT CASE WHEN year(o_orderdate) <= {CUTOVER} THEN 'orders_' ELSE 'orders-' END || CAST(year(o_orderdate) AS VARCHAR) || '.csv' AS file,
+       {names.replace(', ', ' AS "column", ')} AS reason, count(*) AS n_lost FROM orders WHERE {where} GROUP BY 1
+""" for names, where in _LOSSES.items()))
+def csv_loss_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What reading faulty yearly files and conforming them loses: malformed lines, failed casts and dropped columns by file."""
+    from roadframe.operators.schema import loss_report, rename_if_present
+    from roadframe.sources.csv_scan import scan_years
+    years = order_years(spark, sf_dir)
+    scan = scan_years(spark, write_faulty_csvs(spark, sf_dir, years), "orders", years, CUTOVER, corrupt_col="_line", file_col="_file")
+    rows = rename_if_present(scan.data, {"Accident_Id": "Num_Acc"})
+    return loss_report(rows.drop("year"), REFERENCE_SCHEMA, "_file", "_line")

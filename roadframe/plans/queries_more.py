@@ -88,3 +88,27 @@ def picked_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadframe.operators.explain import pick_positive
     s = spark.sql(_FOLDS, lineitem=read_table(spark, sf_dir, "lineitem"))
     return pick_positive(s, "y").groupBy("prediction").agg(F.count(F.lit(1)).alias("n_picked"), F.count_if(F.col("is_correct") != F.col("y")).alias("n_wrong_flags"))
+
+
+_LINE_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_LINE_CATEGORICAL = ["l_returnflag", "l_linestatus", "l_shipday", "l_quantity_text"]
+_LINE_VARIANCE = 0.0001
+_LINES = """SELECT *, CASE WHEN l_returnflag = 'R' THEN 1.0E0 ELSE 0.0E0 END AS y, CAST(CAST(l_shipdate AS DATE) AS {text}) AS l_shipday,
+       CAST(CAST(l_quantity AS INTEGER) AS {text}) AS l_quantity_text FROM {lineitem}"""
+
+
+@register("encoded_correlation", f"""
+WITH t AS ({_LINES.format(text='VARCHAR', lineitem='lineitem')}),
+k AS ({' UNION ALL '.join(f"SELECT '{c}' AS c, {c} AS v, y FROM t WHERE {c} IS NOT NULL" for c in _LINE_CATEGORICAL)}),
+a AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(y) AS s, sum(y * y) AS q FROM t),
+g AS (SELECT c, v, CAST(count(*) AS DOUBLE) AS n, sum(y) AS s, row_number() OVER (PARTITION BY c ORDER BY v) AS i FROM k GROUP BY c, v),
+h AS (SELECT c, v, g.n / a.n AS p, g.s / a.n AS b, a.s / a.n AS m, a.q / a.n - (a.s / a.n) * (a.s / a.n) AS vy FROM g, a WHERE i > 1),
+r AS (SELECT c, v, CASE WHEN p * (1.0 - p) * vy > 0 THEN (b - p * m) / sqrt(p * (1.0 - p) * vy) END AS corr, p * (1.0 - p) AS variance FROM h
+      {' '.join(f"UNION ALL SELECT '{c}', NULL, corr(CAST({c} AS DOUBLE), y), var_pop(CAST({c} AS DOUBLE)) FROM t" for c in _LINE_NUMERIC)})
+SELECT c AS "column", v AS value, corr, abs(corr) AS abs_corr FROM r WHERE variance > {_LINE_VARIANCE}
+""")
+def encoded_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11, T1, M3d: every column of the line items, one-hot where it is a category (each ship day is a column), above a variance, against the label."""
+    from roadframe.operators.correlate import encoded_correlations
+    lines = spark.sql(_LINES.format(text="STRING", lineitem="{lineitem}"), lineitem=read_table(spark, sf_dir, "lineitem"))
+    return encoded_correlations(lines, "y", _LINE_NUMERIC, _LINE_CATEGORICAL, min_variance=_LINE_VARIANCE).drop("variance")
