@@ -161,3 +161,14 @@ def test_dictionary_sample_has_different_texts(spark):
     assert manifest["dictionary_sha256"] == once["dictionary_sha256"]
     none = token_store.write(docs.where("doc_id < 2"), scratch_path(spark, "test-copies"), encoder)
     assert not none["dictionary_trained"]
+
+
+def test_ids_of_many_runs_by_bytes_and_by_offsets():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(bpe.word_bpe())
+    runs = ["a", "it's", "x<|endoftext|>y", "<|startoftext|>", "#", "Ünïcödé", "don't.", "1234", "Å", "été", "İstanbul.", "中文", "a­", "ŉ", "ŒUVRE", "-", "zzqj" * 50, "\x00", "ﬁn"]
+    expected = [plain.encode(r, add_special_tokens=False).ids for r in runs]
+    for some in (runs, runs[:6], runs[8:10], runs[::-1]):
+        got = [list(memoryview(x).cast("I")) for x in token_store.LibraryEncoder(bpe.word_bpe()).run_ids(some)]
+        assert got == [expected[runs.index(r)] for r in some]
