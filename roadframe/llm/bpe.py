@@ -202,21 +202,26 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def _packed(c: Codec, texts: pa.Array) -> pa.ListArray:
+    """Ids of each text of a batch."""
+    packed = [c.encode(t) for t in texts.to_pylist()]
+    offsets = np.zeros(len(packed) + 1, np.int32)
+    np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+
+
+def _ids(name: str) -> T.StructField:
+    return T.StructField(name, T.ArrayType(T.IntegerType(), False))
+
+
 def encode(df: DataFrame, tokenizer: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Append ``out``: array<int> ids of each whole text."""
 
     def make():
         c = codec(tokenizer)
+        return lambda b: [_packed(c, common.column(b, text))]
 
-        def batch(b: pa.RecordBatch) -> list:
-            packed = [c.encode(t) for t in common.column(b, text).to_pylist()]
-            offsets = np.zeros(len(packed) + 1, np.int32)
-            np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
-            return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))]
-
-        return batch
-
-    return common.add_columns(df, [T.StructField(out, T.ArrayType(T.IntegerType(), False))], make)
+    return common.add_columns(df, [_ids(out)], make)
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -234,8 +239,21 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded"
 
 
 def encode_decode(df: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
-    """``encode``, then ``decode`` of what it gave, in columns ``ids`` and ``decoded``."""
-    return decode(encode(df, tokenizer, text), tokenizer)
+    """``encode``, then ``decode`` of what it gave, in columns ``ids`` and ``decoded``.
+
+    Both are done in one pass: two passes in a row hold two Python workers with their own tables for each task.
+    """
+
+    def make():
+        c = codec(tokenizer)
+
+        def batch(b: pa.RecordBatch) -> list:
+            ids = _packed(c, common.column(b, text))
+            return [ids, c.decode_all(ids)]
+
+        return batch
+
+    return common.add_columns(df, [_ids("ids"), T.StructField("decoded", T.StringType())], make)
 
 
 def with_digests(df: DataFrame) -> DataFrame:

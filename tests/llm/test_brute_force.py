@@ -69,6 +69,13 @@ def test_bpe_odd_texts():
         assert c.decode(ids) == t.decode(ids, skip_special_tokens=False)
 
 
+def test_encoding_and_decoding_take_one_python_pass(spark):
+    both = bpe.encode_decode(spark.createDataFrame([("A word",), (None,)], "text string"), bpe.word_bpe())
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    apart = bpe.decode(bpe.encode(spark.createDataFrame([("A word",), (None,)], "text string"), bpe.word_bpe()), bpe.word_bpe())
+    assert both.schema == apart.schema and both.collect() == apart.collect()
+
+
 def test_bpe_white_space_at_the_ends(spark):
     """Separators that only some libraries take for white space, with others before, between and behind them."""
     t = library()
