@@ -116,6 +116,14 @@ def test_every_row_is_scored_by_a_model_that_has_not_seen_it(spark, table):
         assert got[r.id] == (pytest.approx(r.p1, abs=1e-9), int(r.p1 >= 0.5))
 
 
+def test_rounds_grow_to_all_in_three_fits():
+    many, fits = 32, [32]
+    while many < 300:
+        many = boosting.next_rounds(many, 300)
+        fits.append(many)
+    assert fits == [32, 128, 300] and boosting.next_rounds(16, 40) == 40 and boosting.next_rounds(4, 40) == 16
+
+
 def test_stopping_round():
     assert boosting.stopping_round([3, 2, 1, 2, 2, 2, 0], 3) == (3, 6)
     assert boosting.stopping_round([3, 2, 1, 2, 2], 3) == (3, 5)
