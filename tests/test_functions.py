@@ -85,3 +85,18 @@ def test_collapse_target(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (4,), (-1,), (None,)], "grav int")
     out = [r[0] for r in collapse_target(df, "grav", R.GRAV_COLLAPSE, -1, 1).collect()]
     assert out == [0, 1, 1, 0]
+
+
+def test_safe_date_agrees_with_parsing(spark):
+    parts = [(y, m, d) for y in (None, 0, 1, 1900, 1999, 2000, 9999, 10000, -4) for m in (None, 0, 1, 2, 4, 13) for d in (None, 0, 1, 28, 29, 30, 31, 32)]
+    df = spark.createDataFrame(parts, "y int, m int, d int")
+    parsed = F.try_to_date(F.concat_ws("-", *[F.col(c).cast("string") for c in "ymd"]), "y-M-d")
+    out = df.select(safe_date("y", "m", "d").alias("made"), weekday_name(safe_date("y", "m", "d")).alias("name"), parsed.alias("parsed"))
+    assert out.where(~F.col("made").eqNullSafe(F.col("parsed")) | ~F.col("name").eqNullSafe(F.date_format("parsed", "EEEE"))).count() == 0
+
+
+def test_whole_numbers_are_not_stripped_as_text(spark):
+    df = spark.createDataFrame([(5, " 5"), (None, None)], "v int, t string")
+    plan = df.select(strip_to_long("v", df.schema["v"].dataType).alias("v"))
+    assert "regexp" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.v for r in plan.collect()] == [5, None] and plan.dtypes == [("v", "bigint")]
