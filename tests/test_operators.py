@@ -150,3 +150,19 @@ def test_mean_roc_matches_numpy_interp(spark):
     ref = np.mean(tprs, axis=0)
     ref[-1] = 1.0
     assert np.allclose([got[round(g, 9)] for g in grid], ref, atol=1e-9)
+
+
+def test_accident_files_hold_the_rows_of_their_year(spark):
+    from pyspark.sql import functions as F
+    from roadframe.plans.accident_views import spark_view
+    from roadframe.plans.full_etl import _write_accident_csvs
+    from roadframe.plans.queries_io import CUTOVER, order_years
+    from roadframe.session import read_table
+    from roadframe.sources.csv_scan import yearly_path
+    folder = "/root/testdata/sf0.001"
+    when = read_table(spark, folder, "orders").select(F.col("o_orderkey").alias("Num_Acc"), F.year("o_orderdate").alias("year"))
+    want = {r["year"]: r["count"] for r in spark_view(spark, folder, "lieux").join(when, "Num_Acc").groupBy("year").count().collect()}
+    base = _write_accident_csvs(spark, folder)
+    for y in order_years(spark, folder):
+        files = spark.read.option("header", True).option("sep", ";" if y % 2 else ",").csv(yearly_path(base, "lieux", y, CUTOVER))
+        assert files.count() == want[y] and files.columns == spark_view(spark, folder, "lieux").columns
