@@ -3,12 +3,13 @@
 import collections
 import random
 import statistics as st
+import threading
 
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from roadframe.operators import boosting, trials
+from roadframe.operators import boosting, training, trials
 from roadframe.operators.models import describe_model, predict_proba, transform_without_classifier
 from roadframe.operators.training import Moments, Part, TrainingPipeline, components_for, out_of_fold, statistics
 from roadframe.session import scratch_path
@@ -116,6 +117,49 @@ def test_every_row_is_scored_by_a_model_that_has_not_seen_it(spark, table):
         assert got[r.id] == (pytest.approx(r.p1, abs=1e-9), int(r.p1 >= 0.5))
 
 
+def test_folds_are_fitted_side_by_side(table):
+    met, seen = threading.Barrier(4), []
+
+    class Waiting(TrainingPipeline):
+        def fit_encoded(self, df, encoding):
+            met.wait(30)  # broken, if one fold is fitted after the other
+            return df.agg(F.sum("fold")).first()[0]
+
+    fitted = Waiting("y", NUMERIC, TEXT).fit_folds(table, "fold", lambda f, e, m: seen.append((f, e.means["b"], m)))
+    total = sum(r[9] for r in rows())
+    assert fitted == {f: total - sum(r[9] for r in rows() if r[9] == f) for f in range(4)}
+    assert [f for f, _, _ in seen] == [0, 1, 2, 3] and len({m for _, m, _ in seen}) == 4
+
+
+def test_classifiers_read_kept_rows(spark, table, monkeypatch):
+    kept, made = [], training.make_estimator
+
+    class Looking:
+        def __init__(self, *a, **k):
+            self.inner = made(*a, **k)
+
+        def fit(self, df):
+            kept.append(df.storageLevel.useMemory)
+            return self.inner.fit(df)
+
+    monkeypatch.setattr(training, "make_estimator", Looking)
+    for share in (0.9, None):
+        TrainingPipeline("y", NUMERIC, TEXT, "decision_tree", {"maxDepth": 2}, pca_share=share).fit(table)
+    assert kept == [True, True]
+
+
+def test_batch_scoring_reads_kept_rows(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from roadframe.plans import queries_etl, queries_ml
+    kept, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df, params=None: (kept.append(df.storageLevel.useMemory), fit(self, df))[1])
+    users = spark.createDataFrame([(i % 2, str(i % 3), str(i % 4), 30.0 + i % 5) for i in range(60)], "grav int, lum string, atm string, vma double")
+    monkeypatch.setattr(queries_etl, "user_feature_table", lambda *_: users)
+    out = queries_ml.batch_scoring(spark, "").collect()
+    assert kept == [True] and len(out) == 60 and all(0.5 <= r.confidence <= 1 for r in out)
+
+
 def test_rounds_grow_to_all_in_three_fits():
     many, fits = 32, [32]
     while many < 300:
