@@ -36,6 +36,8 @@ from roadframe.session import read_table
 INFINITY = 1 << 62
 #: Words that a worker process remembers, twice.
 REMEMBERED_WORDS = 200_000
+#: Texts encoded and decoded at a time: their ids, tokens and decoded texts take several times their own memory.
+ROUND_TRIP_ROWS = 100
 #: Characters that str.split() takes for white space and the tokenizer does not.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _WHITE = regex.compile(r"\s+")
@@ -253,7 +255,7 @@ def encode_decode(df: DataFrame, tokenizer: str, text: str = "text") -> DataFram
 
         return batch
 
-    return common.add_columns(df, [_ids("ids"), T.StructField("decoded", T.StringType())], make)
+    return common.add_columns(df, [_ids("ids"), T.StructField("decoded", T.StringType())], make, ROUND_TRIP_ROWS)
 
 
 def with_digests(df: DataFrame) -> DataFrame:

@@ -42,10 +42,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def add_columns(df: DataFrame, fields: list[T.StructField], make: Callable[[], Callable[[pa.RecordBatch], list]]) -> DataFrame:
+def add_columns(df: DataFrame, fields: list[T.StructField], make: Callable[[], Callable[[pa.RecordBatch], list]], rows: int = BATCH_ROWS) -> DataFrame:
     """Append columns computed batch by batch. ``make`` runs once in each task and returns the batch function.
 
-    Columns of ``df`` with the same names are replaced.
+    Columns of ``df`` with the same names are replaced. ``rows``: most rows handed to the batch function at a time
+    (fewer where its results are much longer than its input).
     """
     bounded_batches(df.sparkSession)
     base = without(df, [f.name for f in fields])
@@ -53,8 +54,11 @@ def add_columns(df: DataFrame, fields: list[T.StructField], make: Callable[[], C
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, *fn(b)], names=names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows):
+                b = whole.slice(at, rows)
+                yield pa.RecordBatch.from_arrays([*b.columns, *fn(b)], names=names)
+        pa.default_memory_pool().release_unused()  # the worker lives on, beside the next stage's
 
     return base.mapInArrow(run, T.StructType([*base.schema.fields, *fields]))
 

@@ -10,13 +10,14 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from roadframe.llm import bpe, components, decontaminate, files, html_wrapper, licenses, lm_score, pu_quality, quality_rules, registry, simhash_gph, token_store, warc
+from roadframe.llm import bpe, common, components, decontaminate, files, html_wrapper, licenses, lm_score, pu_quality, quality_rules, registry, simhash_gph, token_store, warc
 from roadframe.session import scratch_path
 
 from .conftest import SMALL
@@ -76,6 +77,16 @@ def test_encoding_and_decoding_take_one_python_pass(spark):
     assert both.schema == apart.schema and both.collect() == apart.collect()
 
 
+def test_long_results_come_in_short_batches(spark, monkeypatch):
+    from pyspark.sql import types as T
+    docs = spark.range(95, numPartitions=1).withColumn("text", F.format_string("a%d b", "id"))
+    sizes = common.add_columns(docs, [T.StructField("n", T.LongType())], lambda: lambda b: [pa.array([b.num_rows] * b.num_rows, pa.int64())], 30)
+    assert [r.n for r in sizes.orderBy("id").collect()] == [30] * 90 + [5] * 5
+    asked, plain = [], common.add_columns
+    monkeypatch.setattr(common, "add_columns", lambda *a: (asked.append(a[3:]), plain(*a))[1])
+    assert bpe.encode_decode(docs, bpe.word_bpe()).count() == 95 and asked == [(bpe.ROUND_TRIP_ROWS,)]
+
+
 def test_bpe_white_space_at_the_ends(spark):
     """Separators that only some libraries take for white space, with others before, between and behind them."""
     t = library()
