@@ -214,6 +214,23 @@ def test_draws():
     assert trials.estimator_params({"C": 0.5, "colsample": 0.75, "maxIter": 60}, 200) == {"regParam": 0.01, "featureSubsetStrategy": "0.75", "maxIter": 60}
 
 
+def test_rows_are_gathered_from_tasks_of_their_own(spark):
+    from pyspark import TaskContext
+
+    from roadframe.plans.queries_training import gathered
+
+    def with_task(batches):
+        for b in batches:
+            yield b.assign(task=TaskContext.get().taskAttemptId())
+
+    made = spark.range(0, 600, 1, 6).mapInPandas(with_task, "id long, task long")
+    out = gathered(made, 600)
+    assert out.rdd.getNumPartitions() == 1
+    got = out.collect()
+    assert sorted(r.id for r in got) == list(range(600)) and len({r.task for r in got}) == 6  # one task, if they are merged without a shuffle
+    assert gathered(made, 250_000).rdd.getNumPartitions() == 3
+
+
 def test_a_stopped_search_resumes_from_its_log(spark):
     log, space, seen = scratch_path(spark, "trial-log"), {"x": trials.Uniform(0, 1)}, []
 
