@@ -214,6 +214,30 @@ def test_draws():
     assert trials.estimator_params({"C": 0.5, "colsample": 0.75, "maxIter": 60}, 200) == {"regParam": 0.01, "featureSubsetStrategy": "0.75", "maxIter": 60}
 
 
+def test_models_of_a_search_share_their_balanced_rows(spark, tmp_path, monkeypatch):
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    from roadframe.operators import models
+    from roadframe.plans.queries_ml import SEARCH_FOLDS, severity_model_search
+    r, balanced, fitted, undersample = random.Random(3), [], [], models.undersample
+
+    def tree(name, features, label, seed, **params):
+        fitted.append(name)
+        return DecisionTreeClassifier(featuresCol=features, labelCol=label, maxDepth=2, seed=seed)
+
+    monkeypatch.setattr(models, "make_estimator", tree)
+    monkeypatch.setattr(models, "undersample", lambda df, *a: balanced.append(1) or undersample(df, *a))
+    docs = [(i, r.choice(["en", "de"]), r.choice(["a", "b", "c"]), r.randrange(1, 900)) for i in range(200)]
+    spark.createDataFrame(docs, "doc_id long, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(d[0], int(d[3] > 300), d[0] % 2) for d in docs], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    found = {(x.model, x.metric): x.value for x in severity_model_search(spark, str(tmp_path)).collect()}
+    assert len(balanced) == SEARCH_FOLDS + 1  # once for each fold and once for the refits, not again for every model
+    assert {n: fitted.count(n) for n in set(fitted)} == {"random_forest": 11, "logistic_regression": 11, "gbt": 11, "decision_tree": 6}
+    assert len(found) == 12 and all(found[n, "cv_accuracy"] > 0.9 for n in set(fitted))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
 def test_rows_are_gathered_from_tasks_of_their_own(spark):
     from pyspark import TaskContext
 
