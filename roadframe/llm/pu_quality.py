@@ -263,9 +263,16 @@ def score(df: DataFrame, model: Model, out: str = "score") -> DataFrame:
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Fit on ``docs`` and ``labels``, and append ``score`` to every row of ``docs``."""
+    """Fit on ``docs`` and ``labels``, and append ``score`` to every row of ``docs``.
+
+    Statistics and score are one Python pass: with two, each task would hold two workers, and idle ones are kept for later stages.
+    """
     model = fit(training_rows(docs, labels, key, text).where("NOT held_out"))
-    return score(with_statistics(docs, text), model)
+
+    def make():
+        return lambda b: [pa.array(model.score(np.array([statistics(t) for t in common.column(b, text).to_pylist()])), pa.float64())]
+
+    return common.add_columns(docs, [T.StructField("score", T.DoubleType())], make).drop(STATS)
 
 
 @register("op3_pu_quality")

@@ -172,3 +172,15 @@ def test_ids_of_many_runs_by_bytes_and_by_offsets():
     for some in (runs, runs[:6], runs[8:10], runs[::-1]):
         got = [list(memoryview(x).cast("I")) for x in token_store.LibraryEncoder(bpe.word_bpe()).run_ids(some)]
         assert got == [expected[runs.index(r)] for r in some]
+
+
+def test_documents_are_scored_in_one_python_pass(spark, odd):
+    from roadframe.llm import pu_quality
+    from roadframe.session import read_table
+    docs, labels = (read_table(spark, odd[0], t) for t in ("documents", "labels"))
+    docs = docs.select("doc_id", "text", "lang")
+    got = pu_quality.score_documents(docs, labels)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1  # two hold two Python workers for each task
+    model = pu_quality.fit(pu_quality.training_rows(docs, labels).where("NOT held_out"))
+    want = pu_quality.score(pu_quality.with_statistics(docs), model)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
