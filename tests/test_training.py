@@ -203,6 +203,27 @@ def test_boosting_stops_at_the_best_round(spark):
     assert len(few.validation_loss) == 2
 
 
+def test_a_boosted_model_is_cut_not_fitted_again(spark, monkeypatch):
+    from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    r = random.Random(4)
+    data = [(float(x := r.random()), float(r.random()), float((x > 0.5) != (r.random() < 0.2)), i % 3 == 0) for i in range(600)]
+    df = VectorAssembler(inputCols=["x", "z"], outputCol="features").transform(spark.createDataFrame(data, "x double, z double, label double, held boolean")).coalesce(1).persist()
+    train, validation = df.where("NOT held"), df.where("held")
+    fits, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, d, params=None: (fits.append(self.getMaxIter()), fit(self, d))[1])
+    b = boosting.fit_early_stopped(train, validation, rounds=60, patience=5, first=6, maxDepth=3, stepSize=0.1)
+    assert b.chosen < fits[-1] and b.chosen == b.model.getNumTrees and fits[0] == 6 and len(fits) == 2
+    again = fit(GBTClassifier(maxIter=b.chosen, seed=42, maxDepth=3, stepSize=0.1), train)
+    path = scratch_path(spark, "cut-model")
+    b.model.write().save(path)
+    want = [tuple(x.probability) for x in again.transform(df).select("probability").collect()]
+    for m in (b.model, GBTClassificationModel.load(path)):
+        assert [tuple(x.probability) for x in m.transform(df).select("probability").collect()] == want
+        assert m.numFeatures == 2 and m.featureImportances == again.featureImportances and m.getMaxIter() == b.chosen
+        assert m.evaluateEachIteration(validation) == again.evaluateEachIteration(validation) and m.treeWeights == again.treeWeights
+
+
 def test_draws():
     space = trials.RANGES["gbt"]
     drawn = [trials.draw(space, t) for t in range(200)]
