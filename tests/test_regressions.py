@@ -110,3 +110,48 @@ def test_area_as_a_sum_over_scores(spark):
 
 def test_scratch_folder_follows_the_session(spark):
     assert scratch_path(spark, "x").startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+
+
+def test_wide_rows_are_compared_as_one_text(spark):
+    import datetime
+    import random
+
+    from roadframe.operators.relate import WIDE, drop_duplicate_rows
+    texts = [None, "", "a", "\\", "\\e", "\\s", "\\b", "\\bs", "\\\\s", "\x1f", "a\x1f", "\x1fa", "\\e\x1f\\", "é\n "]
+    r = random.Random(2)
+    kinds = {"t": texts, "u": texts, "d": [None, 0.0, -0.0, 1.5, 1e300, 0.1, float("nan"), float("-inf")], "n": [None, 0, -1, 2**63 - 1, -2**63],
+             "i": [None, -1, 7], "b": [None, True, False], "at": [None, datetime.date(2020, 1, 2)], "x": [None, [1.5]]}
+    schema = "t string, u string, d double, n long, i int, b boolean, at date, x array<double>, " + ", ".join(f"c{j} string" for j in range(WIDE))
+    rows = [(*(r.choice(v) for v in kinds.values()), *["x"] * (WIDE - 1), r.choice(["y", None])) for _ in range(300)]
+    rows += [(a, b, None, None, None, None, None, None, *["x"] * WIDE) for a in texts for b in texts]
+    df = spark.createDataFrame(rows * 2, schema).repartition(3)
+    out = drop_duplicate_rows(df)
+    assert "__row" in out._jdf.queryExecution().executedPlan().toString() and out.dtypes == df.dtypes
+
+    def seen(frame):
+        found = frame.collect()
+        assert len(found) == len(set(map(repr, found)))
+        return set(map(repr, found))
+
+    assert seen(out) == seen(df.dropDuplicates())
+    few = out.where("t = 'a' AND d > 1 OR u = t").withColumn("all", F.array("t", "u")).select(F.explode("all").alias("v")).where("v <> 'a'")
+    assert few._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert "__row" not in drop_duplicate_rows(df.select("t", "d"))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_users_are_shuffled_once_by_accident(spark):
+    import re
+
+    from roadframe.plans.etl import build_user_table
+    from roadframe.plans.queries_etl import PROOF_CFG, accident_tables
+    own = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = accident_tables(spark, "/root/testdata/sf0.001")
+        table = build_user_table(t["usagers"], t["vehicules"], t["caracteristiques"], t["lieux"], None, PROOF_CFG)
+        plan = table._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", own)
+    assert "Expand" not in plan  # a row for each distinct count
+    keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    assert len(keys) > 5 and not [x for x in keys if "id_vehicule" in x or "id_usager" in x or "l_suppkey" in x]
