@@ -131,6 +131,53 @@ def test_folds_are_fitted_side_by_side(table):
     assert [f for f, _, _ in seen] == [0, 1, 2, 3] and len({m for _, m, _ in seen}) == 4
 
 
+def test_large_folds_are_fitted_one_after_the_other(table, monkeypatch):
+    busy, most = [], []
+
+    class Counting(TrainingPipeline):
+        def fit_encoded(self, df, encoding):
+            busy.append(1)
+            most.append(len(busy))
+            threading.Event().wait(0.2)
+            busy.pop()
+
+    for rows_at_a_time, want in ((300, 1), (600, 2), (10**9, 4)):
+        monkeypatch.setattr(training, "SIDE_BY_SIDE_ROWS", rows_at_a_time)
+        most.clear()
+        Counting("y", NUMERIC, TEXT).fit_folds(table, "fold")
+        assert max(most) == want and len(most) == 4
+
+
+def test_components_are_fitted_one_at_a_time_and_kept_off_the_disk(spark, table, monkeypatch):
+    busy, most, levels, pca, made = [], [], [], training.PCA.fit, training.make_estimator
+
+    def looking(self, df, params=None):
+        busy.append(1)
+        most.append(len(busy))
+        levels.append(df.storageLevel)
+        threading.Event().wait(0.3)
+        try:
+            return pca(self, df)
+        finally:
+            busy.pop()
+
+    class Looking:
+        def __init__(self, *a, **k):
+            self.inner = made(*a, **k)
+
+        def fit(self, df):
+            levels.append(df.storageLevel)
+            return self.inner.fit(df)
+
+    monkeypatch.setattr(training.PCA, "fit", looking)
+    monkeypatch.setattr(training, "make_estimator", Looking)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    TrainingPipeline("y", NUMERIC, TEXT, "decision_tree", {"maxDepth": 2}).fit_folds(table, "fold")
+    assert max(most) == 1 and len(most) == 4  # the decomposition isn't safe for threads
+    assert len(levels) == 8 and all(x.useMemory and not x.useDisk for x in levels)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
 def test_classifiers_read_kept_rows(spark, table, monkeypatch):
     kept, made = [], training.make_estimator
 
