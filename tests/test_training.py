@@ -207,6 +207,18 @@ def test_batch_scoring_reads_kept_rows(spark, monkeypatch):
     assert kept == [True] and len(out) == 60 and all(0.5 <= r.confidence <= 1 for r in out)
 
 
+def test_batch_scoring_keeps_no_rows_on_disk(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from roadframe.plans import queries_etl, queries_ml
+    levels, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df, params=None: (levels.append(df.storageLevel), fit(self, df))[1])
+    users = spark.createDataFrame([(i % 2, str(i % 3), str(i % 4), 30.0 + i % 5) for i in range(60)], "grav int, lum string, atm string, vma double")
+    monkeypatch.setattr(queries_etl, "user_feature_table", lambda *_: users)
+    assert queries_ml.batch_scoring(spark, "").count() == 60
+    assert [(x.useMemory, x.useDisk) for x in levels] == [(True, False)]
+
+
 def test_rounds_grow_to_all_in_three_fits():
     many, fits = 32, [32]
     while many < 300:
