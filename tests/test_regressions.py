@@ -155,3 +155,17 @@ def test_users_are_shuffled_once_by_accident(spark):
     assert "Expand" not in plan  # a row for each distinct count
     keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
     assert len(keys) > 5 and not [x for x in keys if "id_vehicule" in x or "id_usager" in x or "l_suppkey" in x]
+
+
+def test_csv_input_leaves_no_staged_tables(spark, monkeypatch):
+    import os
+
+    from roadframe import session
+    from roadframe.plans import full_etl
+    made, path = [], full_etl.scratch_path
+    monkeypatch.setattr(full_etl, "scratch_path", lambda s, name: (made.append(path(s, name)), made[-1])[1])
+    base = full_etl._write_accident_csvs(spark, "/root/testdata/sf0.001")
+    assert len(made) == 5 and [m for m in made if os.path.exists(m)] == [base]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    with pytest.raises(ValueError):
+        session.drop_scratch(spark, "/tmp/other")
